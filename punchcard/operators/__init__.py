@@ -1,5 +1,14 @@
 from punchcard.operators.lines import to_lines, union_lines
-from punchcard.operators.records import CLOSED, OPEN, login_records, parse_lines, reject_counts
+from punchcard.operators.records import (
+    CLOSED,
+    OPEN,
+    keep,
+    login_records,
+    parse_lines,
+    reject_counts,
+    split_lines,
+    text_records,
+)
 from punchcard.operators.summary import (
     carried_attributes,
     first_logins,
@@ -12,11 +21,14 @@ __all__ = [
     "OPEN",
     "carried_attributes",
     "first_logins",
+    "keep",
     "last_logouts",
     "login_records",
     "login_summary",
     "parse_lines",
     "reject_counts",
+    "split_lines",
+    "text_records",
     "to_lines",
     "union_lines",
 ]

@@ -21,6 +21,7 @@ from punchcard.functions.text import FIELD_COUNT
 OPEN = "open"
 CLOSED = "closed"
 
+TEXT_COLUMNS = ["employee_id", "name", "department", "login_text", "logout_text"]
 RECORD_COLUMNS = ["employee_id", "name", "department", "login", "logout"]
 REJECT_REASONS = ["header", "fields", "login", "logout"]
 
@@ -30,6 +31,15 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"mode must be {OPEN!r} or {CLOSED!r}, not {mode!r}")
 
 
+def keep(rows: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
+    """None or one row for each: ``columns`` where ``condition`` holds.
+
+    Not a filter, as Catalyst would push that below the columns it reads and so
+    compute those, here the whole parse, a second time. A generator stays put.
+    """
+    return rows.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
+
+
 def split_lines(lines: DataFrame) -> DataFrame:
     """Lines to ``is_header``, ``field_count`` and five text columns.
 
@@ -37,18 +47,28 @@ def split_lines(lines: DataFrame) -> DataFrame:
     only tells "more than five" beyond.
     """
     line = F.col("value")
-    texts = ["employee_id", "name", "department", "login_text", "logout_text"]
     return (
         lines.select(strip_line_end(line).alias("value"))
         .select(is_header(line).alias("is_header"), csv_fields(line).alias("fields"))
         .select(
             "is_header",
             F.size("fields").alias("field_count"),
-            *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(texts)],
+            *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(TEXT_COLUMNS)],
         )
     )
 
 
+def _enough_fields(mode: str) -> Column:
+    count = F.col("field_count")
+    return count == FIELD_COUNT if mode == OPEN else count >= FIELD_COUNT
+
+
+def text_records(lines: DataFrame, mode: str) -> DataFrame:
+    """The five text columns of lines with a number of fields that ``mode`` takes."""
+    check_mode(mode)
+    return keep(split_lines(lines), _enough_fields(mode), TEXT_COLUMNS)
+
+
 def _field_count(mode: str, fail_on_extra: bool) -> Column:
     count = F.col("field_count")
     if mode == OPEN and fail_on_extra:
@@ -59,14 +79,13 @@ def _field_count(mode: str, fail_on_extra: bool) -> Column:
 
 
 def _reject(mode: str) -> Column:
-    count = F.col("field_count")
-    enough = count == FIELD_COUNT if mode == OPEN else count >= FIELD_COUNT
+    enough = F.coalesce(_enough_fields(mode), F.lit(False))
     no_logout = F.col("logout").isNull()
     if mode == OPEN:
         no_logout = no_logout & (strip(F.col("logout_text")) != "")
     return (
         F.when(F.col("is_header"), "header")
-        .when(count.isNull() | ~enough, "fields")
+        .when(~enough, "fields")
         .when(F.col("login").isNull(), "login")
         .when(no_logout, "logout")
     )
@@ -104,9 +123,6 @@ def login_records(
     With an ``observation`` the same pass counts ``lines`` and, by reason, the
     dropped ones. A stage that runs again after a lost executor may count twice;
     ``reject_counts`` is exact, at the price of its own pass.
-
-    Not a filter, as Catalyst would push that below the parse and so parse each
-    line a second time; a generator is not passed by.
     """
     parsed = parse_lines(lines, mode, fail_on_extra)
     if observation is not None:
@@ -115,8 +131,7 @@ def login_records(
             for reason in REJECT_REASONS
         ]
         parsed = parsed.observe(observation, F.count(F.lit(1)).alias("lines"), *reasons)
-    record = F.array(F.struct(*RECORD_COLUMNS))
-    return parsed.select(F.inline(F.when(F.col("reject").isNull(), record)))
+    return keep(parsed, F.col("reject").isNull(), RECORD_COLUMNS)
 
 
 def reject_counts(lines: DataFrame, mode: str) -> DataFrame:

@@ -1,0 +1,48 @@
+"""Every query against its SQL, run by DuckDB on the same tables."""
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("PUNCHCARD_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    yield connection
+    connection.close()
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, tables, name):
+    found = contract.queries()[name](spark, SF_DIR)
+    rows = tables.execute(contract.oracle_sql()[name]).fetchall()
+    columns = [column[0] for column in tables.description]
+    assert sorted(found.columns) == sorted(columns)
+    spark_rows = Counter(tuple(row) for row in found.select(*columns).collect())
+    sql_rows = Counter(rows)
+    extra, missing = spark_rows - sql_rows, sql_rows - spark_rows
+    assert not extra and not missing, (list(extra.items())[:3], list(missing.items())[:3])
+    assert spark_rows
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
+
+
+def test_no_python_in_plans(spark):
+    for name, query in contract.queries().items():
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert "EvalPython" not in plan and "InPandas" not in plan, name
