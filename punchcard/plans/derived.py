@@ -1,9 +1,9 @@
 """Login lines derived from ``lineitem``, every row of it, one line for each.
 
 The supplier is the employee, the ship date plus the price in seconds the login,
-and the quantity in ten-minute steps the length of the session. Line number,
-return flag and line status decide the kind of line, so that every rule about
-headers, fields, quotes and times meets lines to decide on.
+and the quantity in ten-minute steps the length of the session. Line number with
+return flag or line status decides the form of the line, so that every rule
+about headers, fields, quotes and times meets lines to decide on.
 """
 
 from __future__ import annotations
@@ -11,112 +11,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Kind of line by line number, and by return flag or line status within it.
-_KINDS = {
-    1: "plain",
-    2: {"l_linestatus": {"O": "open", "F": "spaces"}},
-    3: {"l_returnflag": {"A": "header", "N": "header_like", "R": "quoted_header_like"}},
-    4: {"l_returnflag": {"A": "bad_login", "N": "bad_logout", "R": "no_login"}},
-    5: {"l_returnflag": {"A": "short", "N": "long", "R": "blank"}},
-    6: {"l_returnflag": {"A": "padded", "N": "doubled_quotes", "R": "empty_id"}},
-    7: {"l_returnflag": {"A": "loose", "N": "t_separator", "R": "text_after_quote"}},
-}
-
+_USUAL = 'E<key>,"Worker, <key>",<department>,<login>,<logout>'
 
-def _kind() -> Column:
-    kind = F.lit(None).cast("string")
-    for number, rule in _KINDS.items():
-        if isinstance(rule, str):
-            value = F.lit(rule)
-        else:
-            ((column, names),) = rule.items()
-            value = F.lit(None).cast("string")
-            for key, name in names.items():
-                value = F.when(F.col(column) == key, name).otherwise(value)
-        kind = F.when(F.col("l_linenumber") == number, value).otherwise(kind)
-    return kind
+# Form of the line by line number and flag (status for line number 2).
+_FORMS = {
+    "1A": "E<key>,Worker <key>,<department>,<login>,<logout>",
+    "1N": "E<key>,Worker <key>,<department>,<login>,<logout>",
+    "1R": "E<key>,Worker <key>,<department>,<login>,<logout>",
+    "2O": 'E<key>,"Worker, <key>",<department>,<login>,',
+    "2F": 'E<key>,"Worker, <key>",<department>,<login>,  ',
+    "3A": "EmployeeID,Name,Department,LoginTime,LogoutTime",
+    "3N": 'EmployeeID<key>,"Worker, <key>",<department>,<login>,<logout>',
+    "3R": '"EmployeeID<key>","Worker, <key>",<department>,<login>,<logout>',
+    "4A": 'E<key>,"Worker, <key>",<department>,not-a-time,<logout>',
+    "4N": 'E<key>,"Worker, <key>",<department>,<login>,<logout>.5',
+    "4R": 'E<key>,"Worker, <key>",<department>,,<logout>',
+    "5A": 'E<key>,"Worker, <key>",<department>,<login>',
+    "5N": 'E<key>,"Worker, <key>",<department>,<login>,<logout>,more',
+    "5R": "  ",
+    "6A": 'E<key>,"Worker, <key>",<department>, <login>,<logout>\t',
+    "6N": 'E<key>,"Worker ""<key>""",<department>,<login>,<logout>',
+    "6R": ',"Worker, <key>",<department>,<login>,<logout>',
+    "7A": _USUAL,  # times with single digits, and two blanks before the hour
+    "7N": _USUAL,  # T in place of the blank in the login
+    "7R": 'E<key>,"Worker"s <key>,<department>,<login>,<logout>',
+}
 
 
-def _by_kind(cases: dict[str, Column], other: Column) -> Column:
-    result = other
-    for kind, value in cases.items():
-        result = F.when(F.col("kind") == kind, value).otherwise(result)
-    return result
+def _form(code: Column) -> Column:
+    form = F.lit(_USUAL)
+    for key, text in _FORMS.items():
+        if text != _USUAL:
+            form = F.when(code == key, text).otherwise(form)
+    return form
 
 
 def _loose(time: Column) -> Column:
-    date = F.concat_ws("-", F.year(time), F.month(time), F.day(time))
-    return F.concat_ws("  ", date, F.concat_ws(":", F.hour(time), F.minute(time), F.second(time)))
-
-
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed sessions: ``kind``, ``key``, ``department``, ``login``, ``logout``."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    seconds = F.floor("l_extendedprice").cast("int")
-    return items.select(
-        _kind().alias("kind"),
-        F.col("l_suppkey").cast("string").alias("key"),
-        F.concat(F.lit("Dept "), "l_returnflag").alias("department"),
-        F.timestamp_add("SECOND", seconds, "l_shipdate").alias("login"),
-        (F.col("l_quantity") * 600).cast("int").alias("length"),
-    ).select(
-        "kind",
-        "key",
-        "department",
-        "login",
-        F.timestamp_add("SECOND", "length", "login").alias("logout"),
-    )
+    return F.replace(F.regexp_replace(time, r"\b0", ""), F.lit(" "), F.lit("  "))
 
 
 def login_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw lines, in the column ``value``."""
-    key, text = F.col("key"), F.lit
-    login, logout = F.col("login"), F.col("logout")
-    identity = _by_kind(
-        {
-            "header_like": F.concat(text("EmployeeID"), key),
-            "quoted_header_like": F.concat(text('"EmployeeID'), key, text('"')),
-            "empty_id": text(""),
-        },
-        F.concat(text("E"), key),
-    )
-    name = _by_kind(
-        {
-            "plain": F.concat(text("Worker "), key),
-            "doubled_quotes": F.concat(text('"Worker ""'), key, text('"""')),
-            "text_after_quote": F.concat(text('"Worker"s '), key),
-        },
-        F.concat(text('"Worker, '), key, text('"')),
-    )
-    login_text = _by_kind(
-        {
-            "bad_login": text("not-a-time"),
-            "no_login": text(""),
-            "padded": F.concat(text(" "), login.cast("string")),
-            "loose": _loose(login),
-            "t_separator": F.replace(login.cast("string"), text(" "), text("T")),
-        },
-        login.cast("string"),
-    )
-    logout_text = _by_kind(
-        {
-            "open": text(""),
-            "spaces": text("  "),
-            "bad_logout": F.concat(logout.cast("string"), text(".5")),
-            "padded": F.concat(logout.cast("string"), text("\t")),
-            "loose": _loose(logout),
-        },
-        logout.cast("string"),
+    """The raw lines, in the column ``value``.
+
+    They come out of a generator, so that a filter on them is not pushed below it
+    and does not build each line again for each of its conditions.
+    """
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    flag = F.when(F.col("l_linenumber") == 2, F.col("l_linestatus")).otherwise(
+        F.col("l_returnflag")
     )
-    four = F.concat_ws(",", identity, name, F.col("department"), login_text)
-    five = F.concat_ws(",", four, logout_text)
-    line = _by_kind(
-        {
-            "header": text("EmployeeID,Name,Department,LoginTime,LogoutTime"),
-            "short": four,
-            "long": F.concat_ws(",", five, text("more")),
-            "blank": text("  "),
-        },
-        five,
+    start = F.timestamp_add("SECOND", F.floor("l_extendedprice").cast("int"), "l_shipdate")
+    code, login, logout = F.col("code"), F.col("login"), F.col("logout")
+    timed = (
+        items.withColumns({"code": F.concat("l_linenumber", flag), "start": start})
+        .withColumn(
+            "end", F.timestamp_add("SECOND", (F.col("l_quantity") * 600).cast("int"), "start")
+        )
+        .withColumns(
+            {"login": F.col("start").cast("string"), "logout": F.col("end").cast("string")}
+        )
     )
-    return sessions(spark, sf_dir).select(line.alias("value"))
+    line = _form(code)
+    for mark, value in {
+        "<key>": F.col("l_suppkey").cast("string"),
+        "<department>": F.concat(F.lit("Dept "), "l_returnflag"),
+        "<login>": F.when(code == "7A", _loose(login))
+        .when(code == "7N", F.replace(login, F.lit(" "), F.lit("T")))
+        .otherwise(login),
+        "<logout>": F.when(code == "7A", _loose(logout)).otherwise(logout),
+    }.items():
+        line = F.replace(line, F.lit(mark), value)
+    return timed.select(F.explode(F.array(line)).alias("value"))
