@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -12,13 +14,15 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A folder of this application under the cluster's shared folder.
 
-    A local session without that setting gets a temporary folder; a cluster
-    must name one, as its machines see no folder of each other.
+    A local session without that setting gets a temporary folder, which goes
+    away with the process; a cluster must name one, as its machines see no folder
+    of each other.
     """
     base = spark.conf.get(_SETTING, None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{_SETTING} is not set")
         base = tempfile.mkdtemp(prefix="punchcard-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(_SETTING, base)
     return f"{base.rstrip('/')}/punchcard/{spark.sparkContext.applicationId}/{name}"
