@@ -54,9 +54,18 @@ def test_model_cases(mode, line, in_open, in_closed):
     assert (model.record(line, mode) is None) == (reason is not None)
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("mode", [OPEN, CLOSED])
-def test_cases(lines_of, mode):
-    # One line per query would be slow, so the row number rides in a 1:1 zip.
+def test_cases(spark, lines_of, mode, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_cases(lines_of, mode)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def check_cases(lines_of, mode):
+    # One partition keeps the order, so rows can be matched by position.
     lines = lines_of(*[case[0] for case in CASES]).coalesce(1)
     parsed = parse_lines(lines, mode).collect()
     for (line, in_open, in_closed), row in zip(CASES, parsed, strict=True):
