@@ -71,3 +71,9 @@ def test_first_line_once_in_split_file(spark, tmp_path):
 
 def test_literal_lines(spark):
     assert values(literal_lines(spark, "b,c", "a")) == ["a", "b,c"]
+
+
+def test_blank_lines_at_the_top(spark, tmp_path):
+    """A known limit: the first line that is not blank counts as the first."""
+    path = put(tmp_path / "in", "a.csv", "\n  \nE1,data\nE2,data\n")
+    assert values(read_lines_after_first(spark, path)) == ["E2,data"]
