@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from punchcard.llm.common import shared_folder, table
 from punchcard.llm.quality_rules import quality_rules
+from punchcard.llm.simhash import simhash_components
 from punchcard.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 4096
@@ -30,11 +31,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document: 4-word shingles, 4 bits."""
+    grouped = simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return grouped.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         op7_token_counts,
         op9_quality_rules,
+        op10_simhash_components,
     ]
 }
 

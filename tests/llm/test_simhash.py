@@ -1,0 +1,115 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from punchcard.llm.simhash import fingerprint, fingerprint_links, simhash_components
+from punchcard.llm.components import components
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_fingerprint(text, size=4):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    windows = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in windows]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(values, radius=4):
+    """Least index of the group of each value, by comparing all."""
+    group = list(range(len(values)))
+
+    def find(i):
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    for i in range(len(values)):
+        for j in range(i):
+            if ((values[i] ^ values[j]) & (1 << 64) - 1).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                group[b] = a
+    return [find(i) for i in range(len(values))]
+
+
+def check(spark, rows, **options):
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fp string, node string")
+    found = sorted(tuple(r) for r in simhash_components(frame, **options).collect())
+    rows = sorted(rows, key=lambda r: r[0])
+    values = [plain_fingerprint(r[1]) for r in rows]
+    groups = plain_components(values)
+    want = [
+        (r[0], v - (1 << 64) if v >> 63 else v, f"{v:016x}", rows[g][0])
+        for r, v, g in zip(rows, values, groups)
+    ]
+    assert found == sorted(want)
+
+
+def test_all_documents_against_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    check(spark, [(r[0], r[1], "x", "y") for r in rows])
+
+
+def test_odd_texts(spark):
+    texts = [None, "", " \n\t", "one", "One", "two words", "é\xa0x", "a b c d", "A B C D", "w " * 40_000]
+    check(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+
+
+def test_empty_table(spark):
+    check(spark, [])
+
+
+def test_repeated_and_null_ids(documents):
+    text = "some words that are long enough to make a print"
+    found = simhash_components(documents([(7, text), (7, text), (None, text), (3, "")]))
+    assert sorted((r.doc_id or -1, r.component_id) for r in found.collect()) == [
+        (-1, 7),
+        (3, 3),
+        (7, 7),
+        (7, 7),
+    ]
+
+
+def test_only_null_ids(documents):
+    found = simhash_components(documents([(None, "a"), (None, "a")])).collect()
+    assert [r.component_id for r in found] == [None, None]
+
+
+def test_long_text_in_parts():
+    text = " ".join(str(random.Random(3).random()) for _ in range(3)) + " x y z" * 20_000
+    assert fingerprint(text, 4) == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("part", [4, 4096])
+@pytest.mark.parametrize("radius", [1, 3, 4, 5])
+def test_links_connect_what_is_near(spark, monkeypatch, part, radius):
+    """Dense groups, in one part of a bucket or in many."""
+    monkeypatch.setattr("punchcard.llm.simhash.PART", part)
+    rng = random.Random(part + radius)
+    values = set()
+    for _ in range(8):
+        base = rng.getrandbits(64)
+        for _ in range(40):
+            value = base
+            for b in rng.sample(range(64), rng.randint(0, 6)):
+                value ^= 1 << b
+            values.add(value)
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    nodes = spark.createDataFrame([(v,) for v in values], "fp long")
+    found = dict(components(fingerprint_links(nodes, radius)).collect())
+    want = plain_components(values, radius)
+    assert [found.get(v, v) for v in values] == [values[g] for g in want]
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(60)]
+    star = [(1000, 1001 + i) for i in range(200)]
+    edges = spark.createDataFrame([*path, *star, (5, 5), (None, 3)], "u long, v long")
+    found = dict(components(edges).collect())
+    assert found == {**{i: 0 for i in range(61)}, **{i: 1000 for i in range(1000, 1201)}}
