@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punchcard.llm.common import shared_folder, table
+from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
 from punchcard.llm.token_counts import token_counts
@@ -26,6 +27,19 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the multi-line chunks that an earlier place holds."""
+    cleaned = remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_chunks",
+        "n_removed_chunks",
+        "n_removed_lines",
+        F.col("clean_text").alias("text"),
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     return quality_rules(table(spark, sf_dir, "documents"), with_text=False)
@@ -41,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         op7_token_counts,
+        op8_line_chunks,
         op9_quality_rules,
         op10_simhash_components,
     ]

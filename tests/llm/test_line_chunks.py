@@ -1,0 +1,93 @@
+from collections import defaultdict
+
+import pytest
+
+from punchcard.llm import line_chunks
+from punchcard.llm.line_chunks import ChunkRules, chunk_ends, chunks_of, remove_repeated_chunks
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_removal(rows, rules):
+    """{(id, text): kept text} by comparing the bytes of all chunks."""
+    places = defaultdict(list)
+    for number, (doc_id, text) in rows:
+        for place, (_, _, chunk, many) in enumerate(chunks_of(text, rules)):
+            if many:
+                places[chunk].append((doc_id is not None, doc_id or 0, number, place))
+    later = {p for found in places.values() for p in sorted(found)[1:]}
+    result = []
+    for number, (doc_id, text) in rows:
+        own = chunks_of(text, rules)
+        left = [
+            c[2]
+            for place, c in enumerate(own)
+            if (doc_id is not None, doc_id or 0, number, place) not in later
+        ]
+        result.append((doc_id, b"\n".join(left).decode()))
+    return result
+
+
+def check(docs, rules):
+    found = remove_repeated_chunks(docs, rules).selectExpr("row.doc_id", "clean_text").collect()
+    rows = list(enumerate((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()))
+    assert sorted(map(tuple, found), key=str) == sorted(plain_removal(rows, rules), key=str)
+
+
+def test_all_documents_against_brute_force(spark):
+    check(spark.read.parquet(f"{SF_DIR}/documents.parquet"), ChunkRules())
+
+
+@pytest.mark.parametrize("rules", [ChunkRules(), ChunkRules(1, 2, 2, 3), ChunkRules(3, 5, 2, 64)])
+def test_shifted_copies(documents, rules):
+    body = "\n".join(f"line {i} of the text" for i in range(40))
+    texts = [body, f"new first line\n{body}", f"{body}\nlast", None, "", "\n\n\n\n", "one line", body]
+    check(documents(texts), rules)
+
+
+def test_boundaries_move_only_near_a_change():
+    lines = [f"line {i}".encode() for i in range(300)]
+    rules = ChunkRules()
+    before = set(chunk_ends(lines, rules))
+    after = {end - 1 for end in chunk_ends([b"new", *lines], rules)}
+    assert len(before - after) < 6
+
+
+def test_hash_collisions_are_seen(documents, monkeypatch):
+    """With a hash that is the same for all chunks at first, bytes still decide."""
+    import xxhash as real
+
+    class Weak:
+        @staticmethod
+        def xxh64_intdigest(data, seed=None):
+            if seed is None:
+                return real.xxh64_intdigest(data)
+            return 5 if seed == 0 else real.xxh64_intdigest(data, seed)
+
+    texts = [f"line a{i}\nline b{i}\nline c{i}" for i in range(3)]
+    frame = documents([*texts, texts[0]])
+    run = line_chunks._digests
+
+    def weak(rules, seed):
+        def wrapped(batches):
+            line_chunks.xxhash = Weak
+            yield from run(rules, seed)(batches)
+
+        return wrapped
+
+    monkeypatch.setattr(line_chunks, "_digests", weak)
+    check(frame, ChunkRules())
+
+
+def test_repeated_rows_and_null_ids(documents):
+    text = "a b\nc d\ne f\ng h"
+    found = remove_repeated_chunks(documents([(4, text), (4, text), (9, text), (None, "x")]))
+    rows = sorted(((r.row.doc_id or -1, r.clean_text) for r in found.collect()))
+    assert rows[1] == rows[2] == (4, text) and rows[0] == (-1, "x") and len(rows[3][1]) < len(text)
+
+
+def test_empty_table_and_clashing_names(spark):
+    schema = "doc_id long, text string, h string, place int, named string, row long, id string"
+    assert remove_repeated_chunks(spark.createDataFrame([], schema)).count() == 0
+    one = spark.createDataFrame([(1, "a\nb", "h", 1, "n", 2, "i")], schema)
+    assert remove_repeated_chunks(one).first().row.named == "n"
