@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punchcard.llm.common import batch_of, columns, in_batches, written
@@ -90,7 +90,8 @@ def _bytes_of(rules: ChunkRules):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, named = columns(batch.select(["text", "named"]))
+            texts = batch.column("text").to_pylist()
+            named = batch.column("named").to_pylist()
             digests, chunks = [], []
             for text, wanted in zip(texts, named, strict=True):
                 own = chunks_of(text, rules)
@@ -102,10 +103,11 @@ def _bytes_of(rules: ChunkRules):
     return run
 
 
-def _cleaned(rules: ChunkRules):
+def _cleaned(rules: ChunkRules, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, named = columns(batch.select(["text", "named"]))
+            texts = batch.column("row").field(text_col).to_pylist()
+            named = batch.column("named").to_pylist()
             figures = []
             for text, marked in zip(texts, named, strict=True):
                 own = chunks_of(text, rules)
@@ -131,12 +133,12 @@ def _cleaned(rules: ChunkRules):
     return run
 
 
-def _marked(docs: DataFrame, keyed: DataFrame, rules: ChunkRules, seed: int) -> DataFrame:
+def _marked(keyed: DataFrame, text: Column, rules: ChunkRules, seed: int) -> DataFrame:
     """Each document with its chunks whose digest is repeated; later: not the first place."""
     kind = keyed.schema["id"].dataType.simpleString()
     chunks = written(
         in_batches(
-            keyed.select("id", "h", "text"),
+            keyed.select("id", "h", text.alias("text")),
             _digests(rules, seed),
             f"id {kind}, h long, place int, digest long",
         ),
@@ -153,7 +155,7 @@ def _marked(docs: DataFrame, keyed: DataFrame, rules: ChunkRules, seed: int) ->
         .agg(F.collect_set(F.struct("place", "digest", "later")).alias("named"))
     )
     same = keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["h"] == F.col("own_h"))
-    return keyed.join(named, same, "left").select("row", "text", "named")
+    return keyed.join(named, same, "left").select("row", "named")
 
 
 def remove_repeated_chunks(
@@ -171,15 +173,17 @@ def remove_repeated_chunks(
     text counts as one empty line, and becomes an empty text; an empty table gives no rows.
     """
     used = rules or ChunkRules()
+    # The text is carried once, inside the row.
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
-    ).withColumn("h", F.xxhash64("text"))
+        F.xxhash64(text_col).alias("h"),
+    )
+    text = F.col("row")[text_col]
     seed = 0
     while True:
-        marked = written(_marked(docs, keyed, used, seed), "marked")
-        named = marked.filter(F.col("named").isNotNull()).select("text", "named")
+        marked = written(_marked(keyed, text, used, seed), "marked")
+        named = marked.filter(F.col("named").isNotNull()).select(text.alias("text"), "named")
         compared = in_batches(named, _bytes_of(used), "digest long, chunk binary")
         texts = compared.distinct().groupBy("digest").count()
         if texts.filter("count > 1").isEmpty():
@@ -188,7 +192,7 @@ def remove_repeated_chunks(
     kind = docs.schema.simpleString()
     return in_batches(
         marked,
-        _cleaned(used),
+        _cleaned(used, text_col),
         f"row {kind}, clean_text string, n_lines long, n_chunks long,"
         " n_removed_chunks long, n_removed_lines long",
     )
