@@ -112,5 +112,7 @@ def token_counts(
         texts = texts.join(if_small(written(missing, "missing")), "digest", "left_semi")
     misses = texts.dropDuplicates(["digest"])
     in_batches(misses, _encode(model_path), _CACHE).write.mode("append").parquet(folder)
-    counted = rows.drop("text").join(read_cache(spark, folder), "digest")
+    # Written, so that a digest with very many rows can be split in the join.
+    counts = written(read_cache(spark, folder), "counts")
+    counted = rows.drop("text").join(counts, "digest")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
