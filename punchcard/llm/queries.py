@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punchcard.llm.common import shared_folder, table
+from punchcard.llm.decontamination import overlaps
 from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
@@ -17,6 +18,24 @@ from punchcard.llm.token_counts import token_counts
 TOKEN_LIMIT = 4096
 
 
+def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with its best window."""
+    found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("matched", "n_words", (-F.col("doc_start")).alias("d"), (-F.col("item_start")).alias("i")))
+    return (
+        found.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id"))
+        .agg(best.alias("best"))
+        .select(
+            "doc_id",
+            "item_id",
+            "best.n_words",
+            "best.matched",
+            (-F.col("best.d")).alias("doc_start"),
+            (-F.col("best.i")).alias("item_start"),
+        )
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a cache that starts empty."""
     counted = token_counts(
@@ -54,6 +73,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
+        op4_benchmark_overlaps,
         op7_token_counts,
         op8_line_chunks,
         op9_quality_rules,
