@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from punchcard.llm.common import shared_folder, table
 from punchcard.llm.decontamination import overlaps
 from punchcard.llm.line_chunks import remove_repeated_chunks
+from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
 from punchcard.llm.token_counts import token_counts
@@ -36,6 +37,16 @@ def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, packed into sequences of at most 4096 tokens."""
+    return pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        capacity=TOKEN_LIMIT,
+        by_words=True,
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a cache that starts empty."""
     counted = token_counts(
@@ -74,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         op4_benchmark_overlaps,
+        op5_best_fit_packing,
         op7_token_counts,
         op8_line_chunks,
         op9_quality_rules,
