@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_simhash_components,
     ]
-}
+} | {"pipeline": corpus_pipeline.run}
 
 ORACLE: dict[str, str] = {}
