@@ -15,11 +15,23 @@ from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
+from punchcard.llm.site_style import main_texts
 from punchcard.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 4096
 
 
+def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = main_texts(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("row.page_id").alias("page_id"),
+        F.col("row.url").alias("url"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+    )
+
+
 def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a passage of a benchmark item, with its best window."""
     found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -85,6 +97,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
+        op2_site_style,
         op4_benchmark_overlaps,
         op5_best_fit_packing,
         op7_token_counts,
