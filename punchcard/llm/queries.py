@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from punchcard.llm.common import shared_folder, table
 from punchcard.llm.decontamination import overlaps
 from punchcard.llm.line_chunks import remove_repeated_chunks
+from punchcard.llm.nbsvm import quality_scores
 from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
@@ -32,6 +33,12 @@ def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the labels that are not held out."""
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a passage of a benchmark item, with its best window."""
     found = overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
         op2_site_style,
+        op3_nbsvm_quality,
         op4_benchmark_overlaps,
         op5_best_fit_packing,
         op7_token_counts,
