@@ -92,3 +92,37 @@ def fit_platt(margins: np.ndarray, labels: np.ndarray, steps: int = 100) -> Plat
         if done:
             break
     return Platt(float(slope), float(offset))
+
+
+@dataclass(frozen=True)
+class Curve:
+    """The probability of label 1 from a margin, never below a floor."""
+
+    floor: float
+    slope: float
+    middle: float
+
+    def __call__(self, margins: np.ndarray) -> np.ndarray:
+        z = np.clip(self.slope * (margins - self.middle), -500, 500)
+        return self.floor + (1 - self.floor) / (1 + np.exp(-z))
+
+
+def fit_curve(margins: np.ndarray, labels: np.ndarray) -> Curve:
+    """The likeliest curve, for labels of 1 that no margin explains.
+
+    The floor is the share of label 1 among the lower half of the margins of label 0; slope
+    and middle are tried on a grid, the middle between neighbouring margins.
+    """
+    low = margins <= np.median(margins[labels == 0])
+    floor = float(labels[low].sum() / (low.sum() + 2))
+    places = np.unique(np.quantile(margins, np.linspace(0, 1, 401)))
+    middles = (places[1:] + places[:-1]) / 2 if len(places) > 1 else places
+    best, found = -np.inf, Curve(floor, 1.0, 0.0)
+    for slope in (0.5, 1, 2, 3, 4, 6, 8, 12):
+        for middle in middles.tolist():
+            curve = Curve(floor, float(slope), middle)
+            p = np.clip(curve(margins), 1e-6, 1 - 1e-6)
+            value = float(np.sum(np.where(labels == 1, np.log(p), np.log(1 - p))))
+            if value > best:
+                best, found = value, curve
+    return found

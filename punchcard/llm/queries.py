@@ -17,11 +17,18 @@ from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
 from punchcard.llm.site_style import main_texts
+from punchcard.llm.string_kernel import toxicity_scores
 from punchcard.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 4096
 
 
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = main_texts(table(spark, sf_dir, "pages"))
@@ -104,6 +111,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
+        op1_string_kernel_toxicity,
         op2_site_style,
         op3_nbsvm_quality,
         op4_benchmark_overlaps,

@@ -1,0 +1,172 @@
+import itertools
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from punchcard.llm import string_kernel
+from punchcard.llm.labelled import Curve, fit_curve
+from punchcard.llm.string_kernel import DECAY, FLOOR, LONGEST, Kernel, Model, fit, sentences
+from punchcard.llm.string_kernel import toxicity_scores, units_of
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_kernel(a, b):
+    """The kernel of two strings from all their triples."""
+
+    def weights(text):
+        found = defaultdict(float)
+        for i, j, k in itertools.combinations(range(len(text)), 3):
+            found[text[i], text[j], text[k]] += DECAY ** (k - i - 2)
+        return found
+
+    first, second = weights(a), weights(b)
+    product = lambda x, y: sum(value * y.get(key, 0) for key, value in x.items())
+    norm = (product(first, first) * product(second, second)) ** 0.5
+    return product(first, second) / norm if norm else 0.0
+
+
+@pytest.fixture
+def labelled(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+    return make
+
+
+def test_kernel_against_all_triples():
+    rng = random.Random(0)
+    kernel = Kernel("abcde")
+    strings = ["".join(rng.choices("abcde", k=rng.randrange(12))) for _ in range(60)]
+    codes = [kernel.windows(text)[0] for text in strings]
+    tables = [kernel.table(own) for own in codes[:10]]
+    found = kernel.kernels(codes, tables)
+    want = [[plain_kernel(a, b) for b in strings[:10]] for a in strings]
+    assert np.allclose(found, want)
+    for above in (-1.0, 0.2, 0.6):
+        table = np.zeros(string_kernel.LETTERS**3)
+        table[tables[3][0]] = tables[3][1]
+        products = kernel.products(codes, table, above)
+        exact = found[:, 3]
+        assert np.allclose(products[exact > above], exact[exact > above])
+        assert (products[exact <= above] <= above + 1e-12).all()
+
+
+def test_scores_need_no_landmarks():
+    """The table of triples gives the same margins as kernels with the landmarks."""
+    rng = random.Random(1)
+    kernel = Kernel("abcdef")
+    landmarks = ["abc", "fade", "bead"]
+    parts = rng.random(), -rng.random(), rng.random()
+    combined = np.zeros(string_kernel.LETTERS**3)
+    for part, landmark in zip(parts, landmarks):
+        found, values = kernel.table(kernel.windows(landmark)[0])
+        combined[found] += part * values
+    model = Model(kernel, combined, -0.2, Curve(0, 1, 0))
+    words = ["".join(rng.choices("abcdef", k=rng.randint(3, 9))) for _ in range(50)]
+    want = [sum(a * plain_kernel(w, m) for a, m in zip(parts, landmarks)) - 0.2 for w in words]
+    assert np.allclose(model.unit_margins(words), want)
+    assert model.margins([" ".join(words), "", None]).tolist() == pytest.approx(
+        [max(want), FLOOR, FLOOR]
+    )
+
+
+def test_units():
+    assert units_of("i d i o t, you") == ["i", "d", "i", "o", "t,", "you"] + ["idio"]
+    assert units_of("a cat") == ["a", "cat"]
+    assert units_of("x y z") == ["x", "y", "z", "xyz"]
+    assert sentences("One. Two!\nThree") == ["one", "two", "three"]
+
+
+def test_long_units_are_windows():
+    kernel = Kernel("abcdefghijklmnopqrstuvwxyz")
+    long = "q" * 70 + "idiot" + "z" * 70
+    windows = kernel.windows(long)
+    assert max(map(len, windows)) == LONGEST
+    idiot = kernel.windows("idiot")[0]
+    assert any(idiot in window for window in windows)
+    halves = b"".join(window[: LONGEST // 2] for window in windows[:-1])
+    assert halves + windows[-1] == bytes(kernel._codes[ord(c)] for c in long)
+
+
+def made_documents(count, seed=0):
+    rng = random.Random(seed)
+    syllables = ["ba", "re", "to", "lin", "mo", "sa", "ket", "fu"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+    texts, labels = [], []
+    for i in range(count):
+        own = [word() for _ in range(60)]
+        toxic = rng.random() < 0.35
+        if toxic:
+            for insult in rng.sample(["gromp", "vilquex", "dwixel"], 2):
+                own[rng.randrange(60)] = insult
+        texts.append(" ".join(own))
+        labels.append(int(toxic))
+    return texts, labels
+
+
+def test_gaps_and_inserted_letters(documents, labelled):
+    texts, labels = made_documents(400)
+    _, base = made_documents(1, 9), made_documents(30, 5)[0]
+    bent = ["gr-omp", "v.i.l.q.u.e.x", "dwixxel", "vilquexes", "g r o m p", "Dwixel!"]
+    clean = base[1]
+    extra = [clean] + [f"{clean} {word} {clean}" for word in bent]
+    rows = toxicity_scores(
+        documents(texts + extra), labelled([(i, None, x) for i, x in enumerate(labels)])
+    ).collect()
+    scores = {r.doc_id: r.score for r in rows}
+    held = [(scores[i], x) for i, x in enumerate(labels) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all((score >= 0.7) == bool(label) for score, label in held)
+    assert scores[400] < 0.5
+    assert [word for i, word in enumerate(bent) if scores[401 + i] < 0.7] == []
+
+
+def test_all_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = toxicity_scores(docs, labels).collect()
+    assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
+    for r in scored:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    held = [(r.score, known[r.doc_id]) for r in scored if r.held_out and r.doc_id in known]
+    assert sum(score >= 0.7 for score, label in held if not label) <= 1
+    # In this small table, one label in three has no insult behind it.
+    toxic = [score for score, label in held if label]
+    clean = [score for score, label in held if not label]
+    above = sum((a > b) + (a == b) / 2 for a in toxic for b in clean)
+    assert above >= 0.8 * len(toxic) * len(clean)
+
+
+def test_odd_rows(documents, labelled):
+    texts = [None, "", (7, "a b"), (7, "a b"), (None, "x"), "word, " * 60_000, "z" * 5000]
+    rows = toxicity_scores(documents(texts), labelled([])).collect()
+    assert len(rows) == 7 and {r.score for r in rows} == {0.5}
+    odd = labelled([(1, None, None), (None, 0, 1), (7, 0, 1), (7, 0, 1), (0, 7, 7)])
+    assert {r.score for r in toxicity_scores(documents(texts), odd).collect()} == {1.0}
+    assert toxicity_scores(documents([]), labelled([])).count() == 0
+
+
+def test_fit_without_units():
+    labels = np.array([0, 1] * 20)
+    assert fit([set() for _ in labels], labels) == 0.5
+
+
+def test_curve_with_unexplained_labels():
+    margins = np.r_[np.linspace(-1, 0, 90), np.linspace(-1, 0, 10), np.linspace(1, 2, 40)]
+    labels = np.r_[np.zeros(90, int), np.ones(10, int), np.ones(40, int)]
+    curve = fit_curve(margins, labels)
+    p = curve(margins)
+    assert 0.05 < p[0] < 0.15 and p[-1] > 0.95 and 0 <= curve.middle <= 1
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    texts, labels = made_documents(60)
+    documents = [{u for s in sentences(t) for u in units_of(s)} for t in texts]
+    model = fit(documents, np.array(labels))
+    want = model.margins(texts).tolist()
+    monkeypatch.setattr(string_kernel, "REMEMBERED", 10)
+    assert [model.margins([text])[0] for text in texts] == pytest.approx(want)
