@@ -38,6 +38,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_and_swept(df: DataFrame, name: str) -> DataFrame:
+    """As ``written``, and the shuffle files of the write go when it is done."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN)
+    conf.set(_CLEAN, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(_CLEAN, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

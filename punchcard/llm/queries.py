@@ -18,6 +18,7 @@ from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
 from punchcard.llm.site_style import main_texts
 from punchcard.llm.string_kernel import toxicity_scores
+from punchcard.llm.suffix_dedup import remove_repeats
 from punchcard.llm.token_counts import token_counts
 
 TOKEN_LIMIT = 4096
@@ -74,6 +75,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes under strings of 100 bytes that start earlier."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    figures = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *figures)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a cache that starts empty."""
     counted = token_counts(
@@ -116,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_nbsvm_quality,
         op4_benchmark_overlaps,
         op5_best_fit_packing,
+        op6_suffix_dedup,
         op7_token_counts,
         op8_line_chunks,
         op9_quality_rules,
