@@ -45,20 +45,26 @@ def strip_line_end(line: Column) -> Column:
     return F.when(line.endswith("\r"), F.rtrim(line, F.lit("\r"))).otherwise(line)
 
 
-def _unquote(field: Column) -> Column:
+def unquote(field: Column) -> Column:
+    """The text of one raw field: without its quotes if it opens with one."""
     inner = F.regexp_replace(F.substr(field, F.lit(2)), _INNER_QUOTE, "$1$2")
     return F.when(field.startswith('"'), inner).otherwise(field)
 
 
-def csv_fields(line: Column) -> Column:
-    """Split one delimited line into an array of unquoted fields.
+def raw_fields(line: Column) -> Column:
+    """Split one delimited line into an array of fields as they stand, quotes included.
 
-    Lines without a quote, nearly all of them, take a plain split; it stops
-    after one field too many, which is enough to see that a line is too long.
+    Lines without a quote, nearly all of them, take a plain split. No lambda, so that
+    this and ``unquote`` of the fields that are wanted stay in generated code.
     """
-    plain = F.split(line, ",", FIELD_COUNT + 1)
     quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
-    return F.when(line.contains('"'), F.transform(quoted, _unquote)).otherwise(plain)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
+
+
+def csv_fields(line: Column) -> Column:
+    """Split one delimited line into an array of all its fields, unquoted."""
+    raw = raw_fields(line)
+    return F.when(line.contains('"'), F.transform(raw, unquote)).otherwise(raw)
 
 
 def csv_line(*columns: Column) -> Column:

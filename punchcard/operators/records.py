@@ -15,7 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from punchcard.functions import csv_fields, is_header, parse_timestamp, strip, strip_line_end
+from punchcard.functions import (
+    is_header,
+    parse_timestamp,
+    raw_fields,
+    strip,
+    strip_line_end,
+    unquote,
+)
 from punchcard.functions.text import FIELD_COUNT
 
 OPEN = "open"
@@ -43,17 +50,19 @@ def keep(rows: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
 def split_lines(lines: DataFrame) -> DataFrame:
     """Lines to ``is_header``, ``field_count`` and five text columns.
 
-    Columns of missing fields are NULL. ``field_count`` is exact up to five and
-    only tells "more than five" beyond.
+    Columns of missing fields are NULL; ``field_count`` counts all fields.
     """
     line = F.col("value")
     return (
         lines.select(strip_line_end(line).alias("value"))
-        .select(is_header(line).alias("is_header"), csv_fields(line).alias("fields"))
+        .select(is_header(line).alias("is_header"), raw_fields(line).alias("fields"))
         .select(
             "is_header",
             F.size("fields").alias("field_count"),
-            *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(TEXT_COLUMNS)],
+            *[
+                unquote(F.get("fields", F.lit(i))).alias(name)
+                for i, name in enumerate(TEXT_COLUMNS)
+            ],
         )
     )
 

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 _USUAL = 'E<key>,"Worker, <key>",<department>,<login>,<logout>'
 
-# Form of the line by line number and flag (status for line number 2).
+# The header line and its prefix. Form of the line by line number and flag (status for line number 2).
 _FORMS = {
     "1A": "E<key>,Worker <key>,<department>,<login>,<logout>",
-    "1N": "E<key>,Worker <key>,<department>,<login>,<logout>",
-    "1R": "E<key>,Worker <key>,<department>,<login>,<logout>",
+    "1N": 'E<key>,"Worker, <key>",<department>,<login>,<logout>,more,"of, it",x',
+    "1R": "E<key>,Worker <key>,<department>,<login>,<logout>,more,of,it",
     "2O": 'E<key>,"Worker, <key>",<department>,<login>,',
     "2F": 'E<key>,"Worker, <key>",<department>,<login>,  ',
     "3A": "EmployeeID,Name,Department,LoginTime,LogoutTime",

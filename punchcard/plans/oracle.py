@@ -1,6 +1,6 @@
 """What each query must give, in SQL over ``lineitem``.
 
-Nothing here parses: the kind of each line decides its fields, whether it counts
+The header line and its prefix are fixed values. Nothing here parses: the kind of each line decides its fields, whether it counts
 and what its values are.
 """
 
@@ -10,7 +10,8 @@ _LINES = """
 sessions AS (
   SELECT
     CASE l_linenumber
-      WHEN 1 THEN 'plain'
+      WHEN 1 THEN CASE l_returnflag
+        WHEN 'A' THEN 'plain' WHEN 'N' THEN 'longer_quoted' ELSE 'longer' END
       WHEN 2 THEN CASE l_linestatus WHEN 'O' THEN 'open' ELSE 'spaces' END
       WHEN 3 THEN CASE l_returnflag
         WHEN 'A' THEN 'header' WHEN 'N' THEN 'header_like' ELSE 'quoted_header_like' END
@@ -40,7 +41,8 @@ texts AS (
 ),
 fields AS (
   SELECT kind, dept, login, logout, login_usual,
-    CASE kind WHEN 'blank' THEN 1 WHEN 'short' THEN 4 WHEN 'long' THEN 6 ELSE 5 END AS n,
+    CASE kind WHEN 'blank' THEN 1 WHEN 'short' THEN 4 WHEN 'long' THEN 6
+              WHEN 'longer' THEN 8 WHEN 'longer_quoted' THEN 8 ELSE 5 END AS n,
     CASE WHEN kind = 'header' THEN 'EmployeeID'
          WHEN kind IN ('header_like', 'quoted_header_like') THEN 'EmployeeID' || k
          WHEN kind = 'empty_id' THEN ''
@@ -48,6 +50,7 @@ fields AS (
          ELSE 'E' || k END AS id,
     CASE kind WHEN 'header' THEN 'Name'
               WHEN 'plain' THEN 'Worker ' || k
+              WHEN 'longer' THEN 'Worker ' || k
               WHEN 'doubled_quotes' THEN 'Worker "' || k || '"'
               WHEN 'text_after_quote' THEN 'Workers ' || k
               WHEN 'blank' THEN NULL
@@ -82,7 +85,8 @@ opened AS (
 closed AS (
   SELECT id, name, department, login, logout
   FROM fields
-  WHERE kind IN ('plain', 'quoted_header_like', 'long', 'doubled_quotes',
+  WHERE kind IN ('plain', 'quoted_header_like', 'long', 'longer', 'longer_quoted',
+                 'doubled_quotes',
                  'empty_id', 'loose', 'text_after_quote')
 )"""
 
@@ -93,12 +97,13 @@ _RAW = """
       WHEN 'blank' THEN '  '
       WHEN 'header' THEN 'EmployeeID,Name,Department,LoginTime,LogoutTime'
       ELSE CASE WHEN kind = 'quoted_header_like' THEN '"' || id || '"' ELSE id END || ','
-        || CASE kind WHEN 'plain' THEN name
+        || CASE kind WHEN 'plain' THEN name WHEN 'longer' THEN name
                      WHEN 'doubled_quotes' THEN '"' || replace(name, '"', '""') || '"'
                      WHEN 'text_after_quote' THEN '"Worker"' || substr(name, 7)
                      ELSE '"' || name || '"' END
         || ',' || department || ',' || login_text || coalesce(',' || logout_text, '')
-        || CASE kind WHEN 'long' THEN ',more' ELSE '' END
+        || CASE kind WHEN 'long' THEN ',more' WHEN 'longer' THEN ',more,of,it'
+                     WHEN 'longer_quoted' THEN ',more,"of, it",x' ELSE '' END
     END"""
 
 
@@ -123,12 +128,15 @@ SELECT id AS employee_id,
 FROM {source} GROUP BY id"""
 
 
-# The written records: closed ones among those of mode open. The prefix rule
-# drops ids that were quoted before and start with the prefix.
+# The written records: those of mode open with their ids, and with others that start
+# with B. The prefix rule drops ids that were quoted before and start with the prefix.
 _REWRITTEN = """,
-rewritten AS (
-  SELECT * FROM opened WHERE logout IS NOT NULL AND NOT starts_with(id, 'EmployeeID')
-)"""
+written AS (
+  SELECT * FROM opened WHERE NOT starts_with(id, 'EmployeeID')
+  UNION ALL
+  SELECT 'B' || id, name, department, login, logout FROM opened
+),
+rewritten AS (SELECT * FROM written WHERE logout IS NOT NULL)"""
 
 _SUMMARY_OPEN = f""",
 summary AS ({_summary("opened")}
@@ -151,10 +159,14 @@ FROM fields GROUP BY 1""")
 
 ORACLE: dict[str, str] = {
     "scan_lines": _with(f"SELECT {_FIVE} FROM fields WHERE n = 5"),
-    "scan_skip_first": _with(f"""
+    "scan_skip_first": _with(
+        f"""
 SELECT id AS employee_id, name, department, strftime(login, {_TIME}) AS login_text,
   coalesce(strftime(logout, {_TIME}), '') AS logout_text
-FROM opened"""),
+FROM (
+  SELECT * FROM opened UNION ALL SELECT 'B' || id, name, department, login, logout FROM opened
+)"""
+    ),
     "split_fields": _with(f"SELECT n AS field_count, {_FIVE} FROM fields"),
     "drop_header_prefix": _with(
         f"SELECT {_RAW} AS value FROM fields WHERE kind NOT IN ('header', 'header_like')"
@@ -178,7 +190,7 @@ WHERE n = 5 AND kind NOT IN ('header', 'header_like', 'bad_login', 'no_login', '
     "drop_malformed_open": _records("opened"),
     "drop_malformed_closed": _records("closed"),
     "rejects_open": _rejects(
-        "'short', 'long', 'blank'", "'bad_login', 'no_login', 't_separator'", "'bad_logout'"
+        "'short', 'long', 'longer', 'longer_quoted', 'blank'", "'bad_login', 'no_login', 't_separator'", "'bad_logout'"
     ),
     "rejects_closed": _rejects(
         "'short', 'blank'",
@@ -217,5 +229,7 @@ FROM opened GROUP BY id"""),
     ),
     "table_append": _with(f"{_summary('closed')} UNION ALL {_summary('closed')}"),
     "table_job_fixed": _with(_summary("rewritten"), _REWRITTEN),
-    "table_job_parameters": _with(_summary("rewritten"), _REWRITTEN),
+    "table_job_parameters": _with(
+        f"{_summary('rewritten')} UNION ALL {_summary('rewritten')}", _REWRITTEN
+    ),
 }

@@ -5,12 +5,13 @@ Each takes the session and the folder of the tables and returns a DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punchcard.functions import csv_fields, format_timestamp, is_header, parse_timestamp
+from punchcard.functions import format_timestamp, is_header, parse_timestamp
 from punchcard.operators import (
     CLOSED,
     OPEN,
@@ -27,40 +28,70 @@ from punchcard.operators import (
     to_lines,
     union_lines,
 )
-from punchcard.operators.records import RECORD_COLUMNS, TEXT_COLUMNS
+from punchcard.operators.records import RECORD_COLUMNS
 from punchcard.operators.summary import SUMMARY_COLUMNS
 from punchcard.plans import table_job
 from punchcard.plans.derived import login_lines
 from punchcard.plans.jobs import login_summary_csv, login_summary_table
-from punchcard.plans.shared import shared_folder
+from punchcard.plans.shared import fresh_folder, shared_folder
 from punchcard.sinks import CSV_HEADER, append_summary
 from punchcard.sources import literal_lines, read_lines, read_lines_after_first
 
 
-def _written_lines(spark: SparkSession, sf_dir: str, name: str) -> str:
-    folder = shared_folder(spark, name)
-    login_lines(spark, sf_dir).write.mode("overwrite").text(folder)
-    return folder
+# Written input by application, tables and form: once is enough, nothing changes it.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
-def _written_records(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The records of mode open as CSV; the first line of each part is a header."""
-    folder = shared_folder(spark, name) + "/"
+def _written(spark: SparkSession, sf_dir: str, form: str, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, form)
+    if key not in _WRITTEN:
+        folder = fresh_folder(spark, form)
+        write(folder)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]
+
+
+def _written_lines(spark: SparkSession, sf_dir: str) -> str:
+    lines = login_lines(spark, sf_dir)
+    return _written(spark, sf_dir, "lines", lines.write.text)
+
+
+def _quoted(text: str) -> Column:
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def _written_records(spark: SparkSession, sf_dir: str) -> str:
+    """The records of mode open as CSV, twice.
+
+    Once the first line of each part is a header; once each line, with another id, has
+    blank lines before it, and so each part begins with those.
+    """
     records = login_records(login_lines(spark, sf_dir), OPEN).select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in RECORD_COLUMNS]
     )
-    # A header that does not start with the prefix: only its place drops it.
-    (
-        records.toDF("id", *RECORD_COLUMNS[1:])
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(folder)
+    line = F.concat_ws(
+        ",",
+        F.concat(F.lit("B"), "employee_id"),
+        _quoted("name"),
+        _quoted("department"),
+        "login",
+        "logout",
     )
-    return folder
+
+    def write(folder: str) -> None:
+        # A header that does not start with the prefix: only its place drops it.
+        (
+            records.toDF("id", *RECORD_COLUMNS[1:])
+            .write.option("header", True)
+            .option("escape", '"')
+            .option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(folder + "/headed")
+        )
+        records.select(F.concat(F.lit("\n  \n"), line)).write.text(folder + "/blank_first")
+
+    return _written(spark, sf_dir, "records", write) + "/*"
 
 
 def _as_text(records: DataFrame) -> DataFrame:
@@ -68,21 +99,16 @@ def _as_text(records: DataFrame) -> DataFrame:
 
 
 def scan_lines(spark, sf_dir):
-    lines = read_lines(spark, _written_lines(spark, sf_dir, "scan_lines"))
-    return text_records(lines, OPEN)
+    return text_records(read_lines(spark, _written_lines(spark, sf_dir)), OPEN)
 
 
 def scan_skip_first(spark, sf_dir):
-    folder = _written_records(spark, sf_dir, "scan_skip_first")
-    return split_lines(read_lines_after_first(spark, folder)).select(*TEXT_COLUMNS)
+    folder = _written_records(spark, sf_dir)
+    return text_records(read_lines_after_first(spark, folder), CLOSED)
 
 
 def split_fields(spark, sf_dir):
-    fields = csv_fields(F.col("value"))
-    return login_lines(spark, sf_dir).select(fields.alias("f")).select(
-        F.size("f").alias("field_count"),
-        *[F.get("f", F.lit(i)).alias(name) for i, name in enumerate(TEXT_COLUMNS)],
-    )
+    return split_lines(login_lines(spark, sf_dir)).drop("is_header")
 
 
 def drop_header_prefix(spark, sf_dir):
@@ -174,8 +200,8 @@ def header_union(spark, sf_dir):
 
 def csv_round_trip(spark, sf_dir):
     """The CSV job, and its output read back."""
-    path = _written_lines(spark, sf_dir, "csv_round_trip/in")
-    out = shared_folder(spark, "csv_round_trip/out")
+    path = _written_lines(spark, sf_dir)
+    out = fresh_folder(spark, "csv_round_trip")
     login_summary_csv(spark, path, out)
     schema = ", ".join(f"{name} string" for name in CSV_HEADER)
     found = spark.read.schema(schema).option("header", True).option("escape", '"').csv(out)
@@ -187,8 +213,7 @@ def _fresh_table(spark: SparkSession, name: str) -> str:
     schema = "punchcard_" + spark.sparkContext.applicationId.replace("-", "_")
     location = shared_folder(spark, "tables")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{location}'")
-    spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
-    return f"{schema}.{name}"
+    return f"{schema}.{name}_{uuid.uuid4().hex}"
 
 
 def table_append(spark, sf_dir):
@@ -201,18 +226,20 @@ def table_append(spark, sf_dir):
 
 def table_job_fixed(spark, sf_dir):
     """The table job called with its paths."""
-    path = _written_records(spark, sf_dir, "table_job_fixed")
+    path = _written_records(spark, sf_dir)
     table = _fresh_table(spark, "fixed")
     login_summary_table(spark, path, table)
     return spark.table(table).select(*SUMMARY_COLUMNS)
 
 
 def table_job_parameters(spark, sf_dir):
-    """The table job called by its command line."""
-    path = _written_records(spark, sf_dir, "table_job_parameters")
-    table = _fresh_table(spark, "parameters")
-    table_job.main(["--input_csv_file", path, "--output_table", table])
-    return spark.table(table).select(*SUMMARY_COLUMNS)
+    """The table job called by its command line, twice on one output, as on two days."""
+    out = fresh_folder(spark, "table_job_parameters")
+    for _ in range(2):
+        table_job.main(
+            ["--input_csv_file", _written_records(spark, sf_dir), "--output_path", out]
+        )
+    return spark.read.parquet(out).select(*SUMMARY_COLUMNS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,10 +1,8 @@
-"""The folder for files that a check query writes and reads back."""
+"""Folders for files that a check query writes and reads back."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -12,17 +10,15 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this application under the cluster's shared folder.
-
-    A local session without that setting gets a temporary folder, which goes
-    away with the process; a cluster must name one, as its machines see no folder
-    of each other.
-    """
+    """A folder of this application under the folder that all machines share."""
     base = spark.conf.get(_SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{_SETTING} is not set")
-        base = tempfile.mkdtemp(prefix="punchcard-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
+        # The warehouse is shared as well.
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set(_SETTING, base)
     return f"{base.rstrip('/')}/punchcard/{spark.sparkContext.applicationId}/{name}"
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A shared folder that no other call gets."""
+    return shared_folder(spark, f"{name}-{uuid.uuid4().hex}")

@@ -1,3 +1,3 @@
-from punchcard.sources.lines import literal_lines, read_lines, read_lines_after_first
+from punchcard.sources.lines import file_lines, literal_lines, read_lines, read_lines_after_first
 
-__all__ = ["literal_lines", "read_lines", "read_lines_after_first"]
+__all__ = ["file_lines", "literal_lines", "read_lines", "read_lines_after_first"]

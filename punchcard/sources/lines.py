@@ -5,7 +5,7 @@ Paths may be files, directories or globs; large uncompressed files are split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Characters that Unicode reserves as never used in text.
@@ -18,13 +18,42 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
-def read_lines_after_first(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every line but the first of each file, whatever the first holds.
+def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file, line_count, first_blank of every file that has a line, from a scan of the text.
+
+    Lines of the first split come in order; the number that tells it is only compared
+    within this one scan.
+    """
+    lines = read_lines(spark, path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("number"),
+        _is_blank(F.col("value")).alias("blank"),
+    )
+    return lines.groupBy("file").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.min_by("blank", F.struct("start", "number")).alias("first_blank"),
+    )
+
+
+def _is_blank(line: Column) -> Column:
+    """As the CSV source sees it: nothing above a space character."""
+    return ~line.rlike(r"[^\x00-\x20]")
+
+
+def read_lines_after_first(
+    spark: SparkSession, path: str | list[str], files: DataFrame | None = None
+) -> DataFrame:
+    """The lines after the first of each file, whatever the first holds.
+
+    Blank lines may be left out; no rule makes a record of one.
 
     Only the CSV source can skip a first line, so it reads whole lines here: its
     separator is a character that no text holds, and if one does, the line comes
-    back whole as a corrupt record. The source also leaves out blank lines; a
-    file that begins with blank lines loses the first line after them.
+    back whole as a corrupt record. That source leaves out blank lines, also those at
+    the top; a file that begins with a blank line is therefore read as text, whole, as
+    its first line gives no record anyway. ``files`` is what ``file_lines`` found; if it
+    is not given, the files are looked through first.
     """
     lines = (
         spark.read.schema("value string, whole string")
@@ -35,7 +64,18 @@ def read_lines_after_first(spark: SparkSession, path: str | list[str]) -> DataFr
         .option("columnNameOfCorruptRecord", "whole")
         .csv(path)
     )
-    return lines.select(F.coalesce("whole", "value").alias("value"))
+    value = F.coalesce("whole", "value").alias("value")
+    found = file_lines(spark, path) if files is None else files
+    blank = found.filter("first_blank").select("file")
+    if blank.isEmpty():
+        return lines.select(value)
+    after = lines.select(value, F.col("_metadata.file_path").alias("file"))
+    whole = read_lines(spark, path).select("value", F.col("_metadata.file_path").alias("file"))
+    return (
+        after.join(blank, "file", "left_anti")
+        .unionByName(whole.join(blank, "file", "left_semi"))
+        .select("value")
+    )
 
 
 def literal_lines(spark: SparkSession, *lines: str) -> DataFrame:

@@ -1,7 +1,10 @@
 import csv
 import random
+import subprocess
+import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 
@@ -9,7 +12,7 @@ import model
 from punchcard import login_summary_csv, login_summary_table
 from punchcard.plans import table_job
 from punchcard.plans.shared import shared_folder
-from punchcard.sinks import CSV_HEADER, append_summary, write_summary_csv
+from punchcard.sinks import CSV_HEADER, append_summary, check_catalog, write_summary_csv
 from test_records import random_lines
 
 HEADER = "EmployeeID,Name,Department,LoginTime,LogoutTime"
@@ -101,10 +104,82 @@ def test_table_job_appends(spark, tmp_path):
         for name in ["employee_id", "name", "department", "first_login", "last_logout"]
     ]
     assert sorted(tuple(r) for r in table.collect()) == expected
-    table_job.main(["--input_csv_file", path + "/day*.csv", "--output_table", "job_rows"])
+    login_summary_table(spark, path + "/day*.csv", "job_rows")
     assert sorted(tuple(r) for r in spark.table("job_rows").collect()) == sorted(expected * 2)
 
 
+def test_command_refuses_a_table_that_would_be_lost(spark, tmp_path, monkeypatch):
+    path = write_files(tmp_path / "in", [["E1,A,B,2025-01-01 08:00:00,2025-01-01 09:00:00"]])
+    arguments = ["--input_csv_file", path + "/", "--output_table", "lost_rows"]
+    with pytest.raises(ValueError, match="catalogImplementation"):
+        table_job.main(arguments)
+    assert not spark.catalog.tableExists("lost_rows")
+    for table in ("cat.db.rows", "`cat`.db.`the rows`"):
+        check_catalog(spark, table)
+    with pytest.raises(ValueError):
+        check_catalog(spark, "spark_catalog.db.rows")
+    with pytest.raises(ValueError):
+        login_summary_table(spark, path)
+
+
+LAUNCH = """
+import sys
+from pyspark.sql import SparkSession
+SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from punchcard.plans import table_job
+table_job.main(sys.argv[1:])
+"""
+
+
+def test_two_launches_append(tmp_path):
+    """Two processes, as on two days: every row is there twice."""
+    lines = ["E1,A,B,2025-01-01 08:00:00,2025-01-01 09:00:00", "E2,A,B,x,y"]
+    path = write_files(tmp_path / "in", [lines])
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        subprocess.run(
+            [sys.executable, "-c", LAUNCH, "--input_csv_file", path + "/", "--output_path", out],
+            check=True,
+            cwd=Path(__file__).resolve().parent.parent,
+            timeout=120,
+        )
+    rows = pq.read_table(out).to_pylist()
+    assert [r["employee_id"] for r in rows] == ["E1", "E1"] and rows[0] == rows[1]
+
+
+def test_line_counts_add_up(spark, tmp_path):
+    record = "E1,A,B,2025-01-01 08:00:00,2025-01-01 09:00:00"
+    header = "EmployeeID,Name,Department,LoginTime,LogoutTime"
+    files = {
+        "a.csv": [record, "", "  ", record, "short,line", header, "E2,A,B,x,y", "E2,A,B,2025-01-01 08:00:00,"],
+        "b.csv": ["", "", record, ""],
+        "c.csv": ["first"],
+        "d.csv": [],
+    }
+    (tmp_path / "in").mkdir()
+    for name, lines in files.items():
+        (tmp_path / "in" / name).write_text("".join(f"{line}\n" for line in lines))
+    path = str(tmp_path / "in")
+    closed = login_summary_table(spark, path, out_dir=str(tmp_path / "table"))
+    assert closed == {
+        "lines": 13,
+        "rejected_first": 3,
+        "rejected_header": 1,
+        "rejected_fields": 5,
+        "rejected_login": 1,
+        "rejected_logout": 1,
+    }
+    opened = login_summary_csv(spark, path, str(tmp_path / "out"))
+    kept = [model.record(line, "open") for lines in files.values() for line in lines]
+    assert opened["lines"] == 13
+    assert opened["lines"] - sum(n for k, n in opened.items() if k != "lines") == sum(
+        found is not None for found in kept
+    )
+    rest = [line for name in files for line in files[name][1:]]
+    kept = sum(model.record(line, "closed") is not None for line in rest)
+    assert closed["lines"] - sum(n for k, n in closed.items() if k != "lines") == kept == 2
+
+
 def test_append_needs_a_fitting_table(spark):
     spark.sql("DROP TABLE IF EXISTS other_rows")
     spark.sql("CREATE TABLE other_rows (employee_id string, name string) USING parquet")

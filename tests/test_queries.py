@@ -50,3 +50,20 @@ def test_no_python_in_plans(spark):
     for name, query in QUERIES.items():
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
         assert "EvalPython" not in plan and "InPandas" not in plan, name
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "scan_lines",
+        "scan_skip_first",
+        "csv_round_trip",
+        "table_append",
+        "table_job_fixed",
+        "table_job_parameters",
+    ],
+)
+def test_writing_queries_can_be_called_twice(spark, name):
+    first, second = (QUERIES[name](spark, "/root/testdata/sf0.001") for _ in range(2))
+    rows = [Counter(tuple(row) for row in frame.collect()) for frame in (first, second)]
+    assert rows[0] == rows[1] and rows[0]

@@ -7,7 +7,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 
 from punchcard import CLOSED, OPEN, login_records, login_summary, parse_lines
-from punchcard.operators import carried_attributes, first_logins, last_logouts, reject_counts
+from punchcard.operators import (
+    carried_attributes,
+    first_logins,
+    last_logouts,
+    reject_counts,
+    split_lines,
+)
 
 IN, OUT = "2025-07-20 09:15:00", "2025-07-20 17:00:00"
 
@@ -193,3 +199,11 @@ def test_plan_parses_once_and_shuffles_once(lines_of, spark, tmp_path):
         assert plan.count("RLIKE") == 4
         assert "partial_min" in plan and "partial_max" in plan
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_split_is_generated_code(lines_of):
+    """No lambda cuts the stage that splits lines and unquotes the fields."""
+    plan = split_lines(lines_of("a,b"))._jdf.queryExecution().executedPlan().toString()
+    (split,) = [line for line in plan.split("\n") if "regexp_extract_all" in line]
+    (unquoted,) = [line for line in plan.split("\n") if "regexp_replace" in line]
+    assert split.lstrip(" +-:").startswith("*(") and unquoted.lstrip(" +-:").startswith("*(")

@@ -1,4 +1,4 @@
-from punchcard.sources import literal_lines, read_lines, read_lines_after_first
+from punchcard.sources import file_lines, literal_lines, read_lines, read_lines_after_first
 
 
 def put(folder, name, data):
@@ -74,6 +74,25 @@ def test_literal_lines(spark):
 
 
 def test_blank_lines_at_the_top(spark, tmp_path):
-    """A known limit: the first line that is not blank counts as the first."""
+    """Only the first line goes, and that is a blank one; other blank lines may stay."""
     path = put(tmp_path / "in", "a.csv", "\n  \nE1,data\nE2,data\n")
-    assert values(read_lines_after_first(spark, path)) == ["E2,data"]
+    put(tmp_path / "in", "b c.csv", " \nE3,data\n")
+    put(tmp_path / "in", "d.csv", "E4,data\n\nE5,data\n")
+    put(tmp_path / "in", "e.csv", "\n")
+    found = [value for value in values(read_lines_after_first(spark, path)) if value.strip()]
+    assert found == ["E1,data", "E2,data", "E3,data", "E5,data"]
+
+
+def test_file_lines(spark, tmp_path):
+    path = put(tmp_path / "in", "a.csv", "\nx\n" + "y\n" * 30_000)
+    put(tmp_path / "in", "b.csv", "h\n\n\n")
+    put(tmp_path / "in", "c.csv", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = file_lines(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.file[-5:], r.line_count, r.first_blank) for r in rows) == [
+        ("a.csv", 30_002, True),
+        ("b.csv", 3, False),
+    ]
