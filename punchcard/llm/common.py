@@ -38,6 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made and nothing reads any more."""
+    spark = df.sparkSession
+    paths = {file.rpartition("/")[0] for file in df.inputFiles()}
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

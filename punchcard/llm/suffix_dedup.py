@@ -6,12 +6,13 @@ least among the heads in a window of ``length`` bytes; that depends on nothing b
 bytes of the window, so that equal windows have their anchor at the same place, and
 suffixes with equal heads lie next to each other. The documents come in batches, by
 ascending id. Each batch gets an array of its own, and arrays of equal size are merged,
-so that few are left. A scan over the merged order tells what stands earlier: whole
-contexts first (all windows of an anchor at once), then, under heads that have several
-contexts, window by window.
+so that few are left. The scan of a sorted array, or of two that are merged, tells which
+contexts stand earlier: those of an anchor with all its windows at once. Where a head
+has several contexts, its windows are looked at in cells of neighbouring ones, and where
+the common part of a cell has several contexts, one by one.
 
-Every step is a sort, a join or an aggregate that combines before the shuffle; no step
-needs all entries of a head in one task.
+Repeats within a batch of rows are told before the shuffle, so that copies do not pile up
+in a task, and no step needs all contexts of a head in one.
 """
 
 from __future__ import annotations
@@ -21,23 +22,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punchcard.llm.common import batch_of, in_batches, text_of, written_and_swept
+from punchcard.llm.common import batch_of, discard, in_batches, text_of, written_and_swept
 
-HEAD = 32
-BATCHES = 4
+HEAD = 24
+BATCHES = 2
+CELL = 16  # neighbouring windows that are first looked at together
 # Bytes that are looked at together; longer texts are cut, with windows over the cuts.
 SEGMENT = 1 << 20
-# Longest window; an entry holds offsets of less than this.
-LONGEST = 128 + HEAD - 1
+# Bounds of the length; an entry holds offsets below 256.
+SHORTEST, LONGEST = 2 * HEAD, 200
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BYTES = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 _ORDER = ("id", "t", "loc")
-_ENTRY = "h long, c long, id long, t int, loc long"
+_ENTRY = "h long, c long, id long, t int, loc long, later boolean"
 
 
 class _Powers:
@@ -149,67 +151,113 @@ def _segments(texts: list[str | None], length: int) -> Iterator[tuple[np.ndarray
         yield np.frombuffer(b"".join(parts), np.uint8), np.cumsum([*map(len, parts)]), marks
 
 
+def _marked(
+    h: np.ndarray, c: np.ndarray, ids: pa.Array, ts: pa.Array, rows: np.ndarray, loc: np.ndarray
+) -> pa.RecordBatch:
+    """Entries of some rows, with those marked that one of the same rows has earlier.
+
+    A marked entry is settled; it gets a context of its own, so that the copies of a
+    text, however many, are spread over the tasks.
+    """
+    missing = np.array([value is None for value in ids.to_pylist()])
+    plain = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    t = ts.to_numpy(zero_copy_only=False)
+    order = np.lexsort((loc, t[rows], plain[rows], ~missing[rows], c, h))
+    same = np.zeros(len(h), bool)
+    if len(h) > 1:
+        a, b = order[:-1], order[1:]
+        equal = (h[a] == h[b]) & (c[a] == c[b])
+        tied = (plain[rows[a]] == plain[rows[b]]) & (missing[rows[a]] == missing[rows[b]])
+        tied &= (t[rows[a]] == t[rows[b]]) & (loc[a] == loc[b])
+        # After a tie for the first place, all have the first before them but those.
+        first = np.maximum.accumulate(np.where(np.r_[True, ~equal], np.arange(len(h)), 0))
+        at_first = np.r_[True, equal & tied]
+        leading = np.maximum.accumulate(np.where(~at_first, np.arange(len(h)), 0)) <= first
+        same[order] = (np.arange(len(h)) != first) & ~leading
+    own = _mixed(loc.astype(np.uint64) ^ _mixed(plain[rows].astype(np.uint64)))
+    c = np.where(same, own, c)
+    at = pa.array(rows)
+    return batch_of(
+        h=(pa.array(h.view(np.int64)), None),
+        c=(pa.array(c.view(np.int64)), None),
+        id=(ids.take(at), None),
+        t=(ts.take(at), None),
+        loc=(pa.array(loc), None),
+        later=(pa.array(same), None),
+    )
+
+
 def _entries(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ts = batch.column("id"), batch.column("t")
+            found: list[tuple[np.ndarray, ...]] = []
             for data, ends, marks in _segments(batch.column("text").to_pylist(), length):
                 head, context, first, left, span = anchors(data, ends, length)
                 owner = np.searchsorted(ends, first, "right")
                 rows, offsets = np.array(marks, np.int64).T
                 start = first - np.r_[0, ends[:-1]][owner] + offsets[owner]
-                at = pa.array(rows[owner])
-                yield batch_of(
-                    h=(pa.array(head.view(np.int64)), None),
-                    c=(pa.array(context.view(np.int64)), None),
-                    id=(ids.take(at), None),
-                    t=(ts.take(at), None),
-                    loc=(pa.array(start << 16 | left << 8 | span), None),
-                )
+                found.append((head, context, rows[owner], start << 16 | left << 8 | span))
+            if found:
+                h, c, rows, loc = map(np.concatenate, zip(*found, strict=True))
+                yield _marked(h, c, batch.column("id"), batch.column("t"), rows, loc)
 
     return run
 
 
 def entries(keyed: DataFrame, length: int) -> DataFrame:
-    """h, c, id, t, loc of every suffix at an anchor. loc: first start, left, span."""
+    """h, c, id, t, loc, later of every suffix at an anchor. loc: first start, left, span."""
     return in_batches(keyed.select("id", "t", "text"), _entries(length), _ENTRY)
 
 
-def _order() -> Column:
-    return F.struct(*_ORDER)
-
-
-def array_of(found: DataFrame) -> DataFrame:
-    """The array of a batch: each (head, context) with its first place."""
-    return found.groupBy("h", "c").agg(F.min(_order()).alias("first"))
-
-
-def merged(one: DataFrame, other: DataFrame) -> DataFrame:
-    both = one.unionByName(other)
-    return both.groupBy("h", "c").agg(F.min("first").alias("first"))
+def scanned(found: DataFrame) -> DataFrame:
+    """Entries in the order of (head, context, place), marked if one stands earlier."""
+    order = Window.partitionBy("h", "c").orderBy(*_ORDER)
+    return found.withColumn("later", F.col("later") | (F.rank().over(order) > 1))
 
 
 class IndexFamily:
-    """Arrays by level; one of level n is made of 2 ** n batches."""
+    """Arrays by level; one of level n is made of 2 ** n batches.
+
+    ``found`` has the entries that the scans have shown to stand earlier.
+    """
 
     def __init__(self):
         self.levels: dict[int, DataFrame] = {}
+        self.found: list[DataFrame] = []
+
+    def _scan(self, entries_: DataFrame) -> DataFrame:
+        table = written_and_swept(scanned(entries_), "array")
+        later = table.filter("later").select("id", "t", "loc")
+        self.found.append(written_and_swept(later, "found"))
+        return table
+
+    def _merge(self, one: DataFrame, other: DataFrame) -> DataFrame:
+        table = self._scan(one.unionByName(other).filter(~F.col("later")))
+        discard(one)
+        discard(other)
+        return table
 
     def add(self, batch: DataFrame) -> None:
         """Add the entries of a batch; two arrays of a level become one of the next."""
-        array, level = written_and_swept(array_of(batch), "array"), 0
+        array, level = self._scan(batch), 0
         while level in self.levels:
-            array = written_and_swept(merged(self.levels.pop(level), array), "array")
+            array = self._merge(self.levels.pop(level), array)
             level += 1
         self.levels[level] = array
 
     def whole(self) -> DataFrame:
-        """All levels as one array: h, c, first."""
-        arrays = [self.levels[level] for level in sorted(self.levels)]
-        whole = arrays[0]
-        for array in arrays[1:]:
-            whole = merged(whole, array)
-        return whole if len(arrays) == 1 else written_and_swept(whole, "array")
+        """All levels as one array, of h, id, t, loc."""
+        while len(self.levels) > 1:
+            low, high = sorted(self.levels)[:2]
+            self.levels[high] = self._merge(self.levels.pop(low), self.levels.pop(high))
+        (array,) = self.levels.values()
+        return array.filter(~F.col("later")).select("h", *_ORDER)
+
+
+def open_entries(array: DataFrame) -> DataFrame:
+    """The entries whose head has several contexts."""
+    heads = array.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    return array.join(written_and_swept(heads, "heads"), "h", "left_semi")
 
 
 def _batches(keyed: DataFrame, batches: int) -> list[Column]:
@@ -255,8 +303,12 @@ def _contexts(length: int):
     return run
 
 
-def _windows(length: int):
-    """Each window of a context: its head, its place to the anchor, its hash."""
+def _parts(length: int, cell: int):
+    """The windows of each context, in cells of so many places by the anchor.
+
+    The head of a cell is the part all its windows have in common, also those that this
+    context lacks; its context is that of its own windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,36 +320,27 @@ def _windows(length: int):
             hashes = Hashes(np.frombuffer(b"".join(contexts), np.uint8))
             sizes = np.array([len(context) for context in contexts])
             begins = np.cumsum(sizes) - sizes
-            rows = np.repeat(np.arange(len(contexts)), spans + 1)
-            inner = np.arange(len(rows)) - np.repeat(np.cumsum(spans + 1) - spans - 1, spans + 1)
-            at = begins[rows] + inner
-            window = hashes.of(at, at + length) ^ _mixed((lefts[rows] - inner).astype(np.uint64))
-            taken = pa.array(rows)
-            yield batch_of(
-                h=(batch.column("h").take(taken), None),
-                c=(pa.array(window.view(np.int64)), None),
-                id=(batch.column("id").take(taken), None),
-                t=(batch.column("t").take(taken), None),
-                loc=(pa.array((starts[rows] + inner) << 16), None),
-            )
+            low, high = (lefts - spans) // cell, lefts // cell
+            count = high - low + 1
+            rows = np.repeat(np.arange(len(contexts)), count)
+            number = low[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+            left = lefts[rows]
+            # Windows of the cell, by their start in the context.
+            first = np.maximum(0, left - (cell * number + cell - 1))
+            last = np.minimum(spans[rows], left - cell * number)
+            begin = begins[rows]
+            core = begin + left - cell * number
+            head = batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)[rows]
+            head = _mixed(head ^ hashes.of(core, core + length - cell + 1))
+            head = _mixed(head + number.astype(np.uint64))
+            context = hashes.of(begin + first, begin + last + length)
+            context = _mixed(context ^ ((left - first) * 256 + last - first).astype(np.uint64))
+            loc = (starts[rows] + first) << 16 | (left - first) << 8 | (last - first)
+            yield _marked(head, context, batch.column("id"), batch.column("t"), rows, loc)
 
     return run
 
 
-def _later(found: DataFrame, array: DataFrame) -> DataFrame:
-    """The entries that an array has at an earlier place: id, t, start, span."""
-    return (
-        found.join(array, ["h", "c"])
-        .filter(_order() > F.col("first"))
-        .select(
-            "id",
-            "t",
-            F.shiftright("loc", 16).alias("start"),
-            F.col("loc").bitwiseAND(F.lit(255)).cast("int").alias("span"),
-        )
-    )
-
-
 def _removed(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,50 +390,60 @@ def remove_repeats(
     a null id comes before all others. Rows that share an id but not the text are held
     in the order of a hash of the text; rows equal in both are one document that is
     there twice, and get the same result. A null text is empty; texts shorter than ``length``
-    lose nothing; an empty table gives no rows. ``length`` is 64 to 159.
+    lose nothing; an empty table gives no rows. ``length`` is 48 to 200.
     """
-    if not 2 * HEAD <= length <= LONGEST:
-        raise ValueError(f"length {length} is not in {2 * HEAD} .. {LONGEST}")
+    if not SHORTEST <= length <= LONGEST:
+        raise ValueError(f"length {length} is not in {SHORTEST} .. {LONGEST}")
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     keyed = docs.select(
         F.struct(*rest).alias("row"),
         F.col(id_col).cast("long").alias("id"),
         text_of(text_col).alias("text"),
     ).withColumn("t", F.hash("text"))
+    same = keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["t"] == F.col("own_t"))
     family = IndexFamily()
     for condition in _batches(keyed, batches):
         family.add(entries(keyed.filter(condition), length))
-    whole = family.whole()
-
-    # Whole contexts that stand earlier.
-    by_context = _later(entries(keyed, length), whole)
-    found = written_and_swept(by_context, "contexts")
-
-    # Heads with several contexts: their windows, one by one.
-    heads = whole.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    heads = written_and_swept(heads, "heads")
-    open_ = whole.join(heads, "h", "left_semi").select("h", "first.*")
-    named = (
-        open_.groupBy(F.col("id").alias("own_id"), F.col("t").alias("own_t"))
-        .agg(F.collect_set(F.struct("h", "loc")).alias("named"))
-    )
-    same = keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["t"] == F.col("own_t"))
-    texts = keyed.join(written_and_swept(named, "named"), same).select("id", "t", "text", "named")
-    contexts = written_and_swept(
-        in_batches(texts, _contexts(length), "h long, id long, t int, loc long, context binary"),
-        "open",
-    )
-    windows = in_batches(contexts, _windows(length), _ENTRY)
-    firsts = written_and_swept(array_of(windows), "windows")
-    single = written_and_swept(_later(windows, firsts), "windows")
 
+    def parts_of(array: DataFrame, cell: int) -> DataFrame:
+        named = (
+            open_entries(array)
+            .groupBy(F.col("id").alias("own_id"), F.col("t").alias("own_t"))
+            .agg(F.collect_set(F.struct("h", "loc")).alias("named"))
+        )
+        texts = keyed.join(written_and_swept(named, "named"), same)
+        contexts = in_batches(
+            texts.select("id", "t", "text", "named"),
+            _contexts(length),
+            "h long, id long, t int, loc long, context binary",
+        )
+        return in_batches(contexts, _parts(length, cell), _ENTRY)
+
+    found = family.found
+    array = family.whole()
+    for cell in (CELL, 1):
+        finer = IndexFamily()
+        finer.add(parts_of(array, cell))
+        discard(array)
+        found += finer.found
+        array = finer.whole()
+
+    later = found[0]
+    for more in found[1:]:
+        later = later.unionByName(more)
     places = (
-        found.unionByName(single)
-        .groupBy(F.col("id").alias("own_id"), F.col("t").alias("own_t"))
+        later.select(
+            F.col("id").alias("own_id"),
+            F.col("t").alias("own_t"),
+            F.shiftright("loc", 16).alias("start"),
+            F.col("loc").bitwiseAND(F.lit(255)).cast("int").alias("span"),
+        )
+        .groupBy("own_id", "own_t")
         .agg(F.collect_set(F.struct("start", "span")).alias("found"))
     )
     kind = keyed.schema["row"].dataType.simpleString()
-    judged = keyed.join(places, same, "left").select("row", "text", "found")
+    # Written, so that the join finds its size and the files of the scans are not read again.
+    judged = keyed.join(written_and_swept(places, "places"), same, "left").select("row", "text", "found")
     return in_batches(
         judged,
         _removed(length),

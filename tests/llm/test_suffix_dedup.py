@@ -65,7 +65,7 @@ def test_shared_passages(documents, batches):
     check(documents(made_texts(batches)), batches=batches)
 
 
-@pytest.mark.parametrize("length", [64, 159])
+@pytest.mark.parametrize("length", [48, 200])
 def test_other_lengths(documents, length):
     check(documents(made_texts(length)), length)
 
@@ -120,8 +120,30 @@ def test_anchors_of_equal_windows_are_alike():
 def test_equal_levels_merge(spark):
     family = IndexFamily()
     for i in range(7):
-        rows = [(1, 2, i, 0, 5), (i, i, i, 0, 0)]
-        family.add(written(spark.createDataFrame(rows, "h long, c long, id long, t int, loc long"), "e"))
+        rows = [(1, 2, i, 0, 5, False), (i, i, i, 0, 0, False), (7, i, i, 0, 9, True)]
+        schema = "h long, c long, id long, t int, loc long, later boolean"
+        family.add(spark.createDataFrame(rows, schema))
     assert sorted(family.levels) == [0, 1, 2]
-    whole = {(r.h, r.c): r.first.id for r in family.whole().collect()}
-    assert whole == {(1, 2): 0, **{(i, i): i for i in range(7)}}
+    whole = sorted((r.h, r.id) for r in family.whole().collect())
+    assert whole == sorted([(1, 0), *((i, i) for i in range(7))])
+    later = sorted((r.id, r.loc) for frame in family.found for r in frame.collect())
+    assert later == sorted([*((i, 5) for i in range(1, 7)), *((i, 9) for i in range(7))])
+
+
+def test_earlier_entries_are_told_within_rows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    ids, ts = [3, None, 3, 5, None], [1, 1, 1, 0, 2]
+    for _ in range(50):
+        n = 60
+        h, c = (rng.integers(0, 3, n).astype(np.uint64) for _ in range(2))
+        rows, loc = rng.integers(0, 5, n), rng.integers(0, 4, n)
+        made = suffix_dedup._marked(
+            h, c, pa.array(ids, pa.int64()), pa.array(ts, pa.int32()), rows, loc
+        ).to_pylist()
+        place = lambda k: (ids[rows[k]] is not None, ids[rows[k]] or 0, ts[rows[k]], loc[k])
+        for k in range(n):
+            own = [place(j) for j in range(n) if h[j] == h[k] and c[j] == c[k]]
+            assert made[k]["later"] == (place(k) > min(own))
+            assert made[k]["later"] or made[k]["c"] == c[k]
