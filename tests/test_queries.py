@@ -1,6 +1,8 @@
 """Every query against its SQL, run by DuckDB on the same tables."""
 
 import os
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -67,3 +69,20 @@ def test_writing_queries_can_be_called_twice(spark, name):
     first, second = (QUERIES[name](spark, "/root/testdata/sf0.001") for _ in range(2))
     rows = [Counter(tuple(row) for row in frame.collect()) for frame in (first, second)]
     assert rows[0] == rows[1] and rows[0]
+
+
+def test_contract_without_the_text_package():
+    """The other queries are there if ``punchcard.llm`` is not."""
+    code = (
+        "import sys; sys.modules['punchcard.llm'] = None\n"
+        "import __spark_entry__ as contract\n"
+        "print(sorted(contract.queries()), sorted(contract.oracle_sql()), sep='|')"
+    )
+    found = subprocess.run(
+        [sys.executable, "-c", code],
+        cwd=Path(contract.__file__).parent,
+        capture_output=True,
+        text=True,
+        check=True,
+    )
+    assert found.stdout.strip() == f"{sorted(QUERIES)}|{sorted(ORACLE)}"
