@@ -13,6 +13,7 @@ from punchcard.llm.common import shared_folder, table
 from punchcard.llm.decontamination import overlaps
 from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.nbsvm import quality_scores
+from punchcard.llm.oracle import ORACLE
 from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
@@ -132,4 +133,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ]
 } | {"pipeline": corpus_pipeline.run}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
