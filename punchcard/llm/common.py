@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,6 +71,18 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def _show_package(spark: SparkSession) -> None:
+    """Python workers on this machine import the package from where the driver has it.
+
+    On a cluster it is shipped with the application, and this path tells nothing.
+    """
+    own = str(Path(__file__).resolve().parents[2])
+    variables = spark.sparkContext.environment
+    known = variables.get("PYTHONPATH", "").split(":")
+    if own not in known:
+        variables["PYTHONPATH"] = ":".join([own, *filter(None, known)])
+
+
 def in_batches(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -77,6 +90,7 @@ def in_batches(
 ) -> DataFrame:
     """``mapInArrow`` with bounded batches."""
     spark = df.sparkSession
+    _show_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
