@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from punchcard.llm.common import batch_of, in_batches, written
 
 SHARD = 8192
-# Words that a worker remembers; when there are more, it forgets them all.
-REMEMBERED = 600_000
+# Words that a worker remembers, in about 300 MB; when there are more, it forgets them all.
+REMEMBERED = 1_500_000
 # Latin letters, then marks other than the apostrophe and the brackets of special tokens.
 _LETTERS_MARKS = re.compile(
     r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+([!-%(-/:;=?@\[-`{|}~]*)"
