@@ -1,9 +1,14 @@
-"""Removal of repeated multi-line chunks with content-defined boundaries.
+"""Removal of repeated multi-line chunks.
 
-A rolling hash over the hashes of a few lines chooses where a chunk ends, so that
-lines put in or taken out move only the boundaries near them. Chunks that the
-whole table holds more than once keep their first place; the others go. Equal
+Chunks overlap: one begins at every line that is not blank and ends at the next such
+line, so that a chunk depends on its own lines alone and any repeated run of two lines
+or more is made of repeated chunks, whatever stands round it. Chunks that the whole
+table holds more than once keep their first place; the lines of the others go. Equal
 hashes are not trusted: the bytes of all places of a hash are compared.
+
+With ``overlapping=False`` a text is dealt into chunks that do not overlap. A rolling
+hash over the hashes of a few lines chooses where one ends, so fewer chunks are compared,
+but most runs of a few lines hold no whole chunk and stay.
 """
 
 from __future__ import annotations
@@ -28,6 +33,10 @@ class ChunkRules:
     divisor: int = 3  # one line in so many ends a chunk
     min_lines: int = 2
     max_lines: int = 64
+    overlapping: bool = False  # a chunk from every line; the figures above are not used
+
+
+OVERLAPPING = ChunkRules(overlapping=True)
 
 
 def chunk_ends(lines: list[bytes], rules: ChunkRules) -> list[int]:
@@ -51,9 +60,19 @@ def chunk_ends(lines: list[bytes], rules: ChunkRules) -> list[int]:
     return ends
 
 
+def lines_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").split(b"\n")
+
+
 def chunks_of(text: str | None, rules: ChunkRules) -> list[tuple[int, int, bytes, bool]]:
     """(first line, line count, bytes, counts as multi-line) of each chunk of a text."""
-    lines = (text or "").encode("utf-8", "surrogatepass").split(b"\n")
+    lines = lines_of(text)
+    if rules.overlapping:
+        full = [i for i, line in enumerate(lines) if line.strip()]
+        return [
+            (i, j + 1 - i, b"\n".join(lines[i : j + 1]), True)
+            for i, j in zip(full, full[1:])
+        ]
     found, start = [], 0
     for end in chunk_ends(lines, rules):
         own = lines[start:end]
@@ -110,16 +129,28 @@ def _cleaned(rules: ChunkRules, text_col: str):
             named = batch.column("named").to_pylist()
             figures = []
             for text, marked in zip(texts, named, strict=True):
-                own = chunks_of(text, rules)
-                drop = {item["place"] for item in marked or () if item["later"]}
-                left = [c[2] for i, c in enumerate(own) if i not in drop]
+                lines, own = lines_of(text), chunks_of(text, rules)
+                later = {i["place"]: i["first_here"] for i in marked or () if i["later"]}
+                drop: set[int] = set()
+                kept: dict[int, int] = {}
+                for place in sorted(later, reverse=True):
+                    start, count = own[place][:2]
+                    first = later[place]
+                    if first is not None:
+                        # A run that overlaps its own first place leaves that whole.
+                        if later.get(place + 1) == first + 1:
+                            kept[place] = kept[place + 1]
+                        else:
+                            kept[place] = own[first][0] + own[first][1]
+                    drop.update(range(max(start, kept.get(place, 0)), start + count))
+                left = [line for i, line in enumerate(lines) if i not in drop]
                 figures.append(
                     (
                         b"\n".join(left).decode("utf-8", "surrogatepass") if drop else text or "",
-                        sum(c[1] for c in own),
+                        len(lines),
                         len(own),
+                        len(later),
                         len(drop),
-                        sum(own[i][1] for i in drop),
                     )
                 )
             clean, *counts = zip(*figures, strict=True) if figures else [()] * 5
@@ -148,11 +179,13 @@ def _marked(keyed: DataFrame, text: Column, rules: ChunkRules, seed: int) -> Dat
     repeated = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     # Written, so that a digest with very many places can be split in the join.
     repeated = written(repeated.filter("n > 1").drop("n"), "repeated")
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
     named = (
         chunks.join(repeated, "digest")
         .withColumn("later", ~place.eqNullSafe(F.col("first")))
+        .withColumn("first_here", F.when(here, F.col("first.place")))
         .groupBy(F.col("id").alias("own_id"), F.col("h").alias("own_h"))
-        .agg(F.collect_set(F.struct("place", "digest", "later")).alias("named"))
+        .agg(F.collect_set(F.struct("place", "digest", "later", "first_here")).alias("named"))
     )
     same = keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["h"] == F.col("own_h"))
     return keyed.join(named, same, "left").select("row", "named")
@@ -167,12 +200,13 @@ def remove_repeated_chunks(
     """Remove repeated multi-line chunks: row (all columns of ``docs``, as one struct),
     clean_text, n_lines, n_chunks, n_removed_chunks, n_removed_lines; one row per row.
 
-    A chunk counts if at least two of its lines are not blank. The place with the least
-    (id, hash of the text, place) stays; a null id comes before all others. Rows equal
+    Without ``rules`` chunks overlap. A chunk counts if at least two of its lines are not
+    blank. The place with the least (id, hash of the text, place) stays; a null id comes
+    before all others. A line goes if any later place of a chunk holds it. Rows equal
     in id and text are one document that is there twice, and get the same result. A null
     text counts as one empty line, and becomes an empty text; an empty table gives no rows.
     """
-    used = rules or ChunkRules()
+    used = rules or OVERLAPPING
     # The text is carried once, inside the row.
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

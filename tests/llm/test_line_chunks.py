@@ -91,3 +91,56 @@ def test_empty_table_and_clashing_names(spark):
     assert remove_repeated_chunks(spark.createDataFrame([], schema)).count() == 0
     one = spark.createDataFrame([(1, "a\nb", "h", 1, "n", 2, "i")], schema)
     assert remove_repeated_chunks(one).first().row.named == "n"
+
+
+def searched_removal(rows):
+    """{id: kept text}, by a plain search for every two lines in all that stands before."""
+    kept, before = {}, "\n"
+    for doc_id, text in rows:
+        lines = text.split("\n")
+        full = [i for i, line in enumerate(lines) if line.strip()]
+        gone = set()
+        for i, j in zip(full, full[1:]):
+            if "\n" + "\n".join(lines[i : j + 1]) + "\n" in before:
+                gone.update(range(i, j + 1))
+        kept[doc_id] = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+        before += text + "\n\0\n"
+    return kept
+
+
+def test_all_runs_of_lines_against_a_plain_search(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    # Repeats within a document are left to the test of periodic lines.
+    rows = [(i, t) for i, t in rows if len(set(t.split("\n"))) == t.count("\n") + 1]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = remove_repeated_chunks(frame).selectExpr("row.doc_id", "clean_text").collect()
+    assert dict(map(tuple, found)) == searched_removal(rows)
+
+
+def test_passages_of_over_50_words_go_whole_in_any_context(documents):
+    texts, n = [], 0
+    for size in range(2, 9):
+        for _ in range(10):
+            n += 1
+            passage = [" ".join(f"w{n}x{i}x{k}" for k in range(30)) for i in range(size)]
+            for side in "ab":
+                own = [f"{side} {n} {i}" for i in range(6)]
+                texts.append("\n".join([*own[:3], *passage, *own[3:]]))
+    found = remove_repeated_chunks(documents(texts)).selectExpr("row.text", "clean_text")
+    clean = dict(map(tuple, found.collect()))
+    for first, later in zip(texts[::2], texts[1::2], strict=True):
+        assert clean[first] == first
+        assert clean[later] == "\n".join(x for x in later.split("\n") if x[0] == "b")
+
+
+def test_periodic_lines_leave_the_first_place_whole(documents):
+    texts = ["a\na\na\na\na", "b\nc\nb\nc\nb\nd", "e\n\nf\n", "x\ne\n\nf\n\ny", "e\nf"]
+    found = remove_repeated_chunks(documents(texts)).selectExpr("row.text", "clean_text")
+    assert dict(map(tuple, found.collect())) == {
+        texts[0]: "a\na",
+        texts[1]: "b\nc\nb\nd",
+        texts[2]: texts[2],
+        texts[3]: "x\n\ny",
+        texts[4]: texts[4],
+    }
