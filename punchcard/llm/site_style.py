@@ -49,6 +49,10 @@ CLOSED_BY = {
     "thead": {"tbody", "tfoot"},
     "tbody": {"tbody", "tfoot"},
 }
+CLOSERS: dict[str, list[str]] = {}
+for _open, _new in CLOSED_BY.items():
+    for _tag in _new:
+        CLOSERS.setdefault(_tag, []).append(_open)
 # What those do not look beyond.
 SCOPE = frozenset("ul ol dl table article main section div blockquote menu dir".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog fieldset address".split())
@@ -77,7 +81,6 @@ _ATTRIBUTE = re.compile(
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_DEPTH = 60
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 # Standing of a node by its element or names; its branch has it too.
@@ -144,6 +147,19 @@ def parse(source: str) -> Page:
     blocks: list[tuple[int, str]] = []
     stack = [0]
     text: list[str] = []
+    # Open tags, all of them and by the SCOPE element they stand in: no search in vain
+    # goes through the stack, however deep it is.
+    opened: dict[str, int] = {}
+    scopes: list[dict[str, int]] = [{}]
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag = nodes[stack.pop()].tag
+            opened[tag] -= 1
+            if tag in SCOPE:
+                scopes.pop()
+            elif tag in CLOSED_BY:
+                scopes[-1][tag] -= 1
 
     def flush() -> None:
         if text:
@@ -167,11 +183,12 @@ def parse(source: str) -> Page:
             text.append(" ")
             continue
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    flush()
-                    del stack[depth:]
-                    break
+            if opened.get(tag):
+                flush()
+                depth = len(stack) - 1
+                while nodes[stack[depth]].tag != tag:
+                    depth -= 1
+                close(depth)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -198,26 +215,32 @@ def parse(source: str) -> Page:
             continue
         flush()
         if block:
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[depth]].tag
-                if tag in CLOSED_BY.get(open_tag, ()):
-                    del stack[depth:]
-                    break
-                if open_tag in SCOPE:
+            here = scopes[-1]
+            for open_tag in CLOSERS.get(tag, ()) if here else ():
+                if here.get(open_tag):
+                    depth = len(stack) - 1
+                    while tag not in CLOSED_BY.get(nodes[stack[depth]].tag, ()):
+                        depth -= 1
+                    close(depth)
                     break
             above = nodes[stack[-1]].standing
             standing = _standing(tag, words, hidden, above, False)
         if match[0].endswith("/>") and not block:
             continue
-        if len(stack) > _DEPTH:
-            continue
         parent = stack[-1]
         label = f"{tag}.{name}" if name else tag
         siblings = nodes[parent].children
         if not siblings or siblings[-1] != label:
             siblings.append(label)
-        nodes.append(Node(tag, f"{nodes[parent].path}/{label}", parent, standing))
+        # The path is hashed step by step, so that a deep page stays small.
+        path = xxhash.xxh64_hexdigest(f"{nodes[parent].path}/{label}".encode("utf-8", "surrogatepass"))
+        nodes.append(Node(tag, path, parent, standing))
         stack.append(len(nodes) - 1)
+        opened[tag] = opened.get(tag, 0) + 1
+        if tag in SCOPE:
+            scopes.append({})
+        elif tag in CLOSED_BY:
+            scopes[-1][tag] = scopes[-1].get(tag, 0) + 1
     if at < len(source):
         text.append(source[at:])
     flush()

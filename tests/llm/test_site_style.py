@@ -146,3 +146,28 @@ def test_repeated_rows_and_names(spark, pages):
     schema = "page_id long, url string, html string, text string, host int, row int, key int"
     one = spark.createDataFrame([(1, "u", "<p>x</p>", "t", 1, 2, 3)], schema)
     assert main_texts(one).first().row.text == "t"
+
+
+def plain_text(source, stats=None):
+    page = parse(source)
+    lines = [str(len(page.nodes))]
+    lines += [f"{n.parent} {n.standing} {_hash(n.path)}" for n in page.nodes]
+    lines += [f"{n} {t}" for n, t in page.blocks]
+    return verdict(lines, stats or {}, StyleRules())
+
+
+@pytest.mark.parametrize("depth", [10, 59, 60, 61, 200])
+def test_elements_count_at_any_depth(depth):
+    own = "<div>" * depth + "<p>a</p><nav>menu</nav><div class=ad>buy</div>" + "</div>" * depth
+    source = f"<article>{own}<p>b</p></article><footer>f</footer><p>c</p>"
+    assert plain_text(source) == "a\nb\nc"
+    unclosed = "<article>" + "<div>" * depth + "<nav>menu</nav><p>a</p><footer>f</footer></article>"
+    assert plain_text(unclosed) == "a"
+    page = parse(source)
+    assert len({n.path for n in page.nodes}) == len(page.nodes) == depth + 8
+
+
+def test_deep_broken_pages_take_no_search_for_each_tag():
+    n = 20_000
+    assert len(parse("<div>" * n + "x</b></td>" * n).nodes) == n + 1
+    assert len(parse("<ul><li><div>" + "<form><li>y</li>" * n).blocks) == n
