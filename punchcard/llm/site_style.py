@@ -66,6 +66,15 @@ FURNITURE_WORDS = frozenset(
     " respond search share sharing sidebar signup social sponsor sponsored subscribe"
     " toolbar widget".split()
 )
+# Those that a part of an article's own text may have as well.
+DOUBTFUL_WORDS = frozenset(
+    "legal login notice promotion recommended related search share sharing social".split()
+)
+# Elements that are furniture however much of a page they hold.
+NO_WRAPPER = frozenset("nav footer menu dialog address".split())
+# Share of a page's text from which an element with a furniture name is a wrapper, and
+# from which the tree is asked.
+WRAPPER, LARGE = 0.9, 0.5
 HEADER_WORDS = frozenset("banner header masthead".split())
 
 _TOKEN = re.compile(
@@ -83,8 +92,9 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
-# Standing of a node by its element or names; its branch has it too.
-NEUTRAL, INSIDE, OUTSIDE = 0, 1, 2
+# Standing of a node by its element or names; its branch has it too. DOUBTFUL is page
+# furniture unless the tree knows the place and finds it important.
+NEUTRAL, INSIDE, OUTSIDE, HIDDEN, DOUBTFUL = 0, 1, 2, 3, 4
 
 
 @dataclass(slots=True)
@@ -93,6 +103,8 @@ class Node:
     path: str
     parent: int
     standing: int
+    start: int  # where its tag begins in the source
+    own: bool  # page furniture by its own element or names
     children: list[str] = field(default_factory=list)
 
 
@@ -123,16 +135,29 @@ def _names(attributes: str) -> tuple[str, set[str], bool]:
     return ".".join(sorted(w for w in words if w.isalpha())), words, hidden
 
 
-def _standing(tag: str, words: set[str], hidden: bool, above: int, raw: bool) -> int:
-    if above == OUTSIDE or hidden or raw:
+def _furniture(tag: str, words: set[str]) -> bool:
+    return tag in FURNITURE or bool(words & FURNITURE_WORDS) or "header" in words
+
+
+def _standing(tag: str, words: set[str], hidden: bool, above: int, wrapper: int | None) -> int:
+    """``wrapper``: the standing the whole page gives the element, in place of its names'."""
+    if above == HIDDEN or hidden:
+        return HIDDEN
+    if above == OUTSIDE:
         return OUTSIDE
-    if tag in CONTENT:
-        return INSIDE
-    if tag in ("html", "body"):
-        return above
-    if above == INSIDE and (tag == "header" or words & HEADER_WORDS):
-        return INSIDE  # the article's own head, with its title
-    if tag in FURNITURE or words & FURNITURE_WORDS or "header" in words:
+    if wrapper is not None:
+        return above if wrapper == NEUTRAL else wrapper
+    if above != DOUBTFUL:
+        if tag in CONTENT:
+            return INSIDE
+        if tag in ("html", "body"):
+            return above
+        if above == INSIDE and (tag == "header" or words & HEADER_WORDS):
+            return INSIDE  # the article's own head, with its title
+    if _furniture(tag, words):
+        doubtful = tag not in FURNITURE and words & FURNITURE_WORDS <= DOUBTFUL_WORDS
+        if above == INSIDE and doubtful and "header" not in words:
+            return DOUBTFUL
         return OUTSIDE
     return above
 
@@ -142,8 +167,53 @@ def parse(source: str) -> Page:
 
     Broken markup is taken as browsers do: elements that are not closed end with their
     parent or where a next one of their kind begins, stray end tags are ignored.
+    An element with a furniture name that holds the page's article, or nearly all text,
+    is a wrapper and stands as what it is in.
     """
-    nodes = [Node("", "", -1, NEUTRAL)]
+    page = _parse(source, {})
+    wrappers = _wrappers(page)
+    return _parse(source, wrappers) if wrappers else page
+
+
+def _wrappers(page: Page) -> dict[int, int]:
+    """By start: the standing of elements whose names the page as a whole overrules."""
+    nodes = page.nodes
+    if not any(node.own for node in nodes):
+        return {}
+    size = [0] * len(nodes)
+    for node, text in page.blocks:
+        if nodes[node].standing != HIDDEN:
+            size[node] += len(text)
+    for node in range(len(nodes) - 1, 0, -1):
+        size[nodes[node].parent] += size[node]
+    articles = [n for n, node in enumerate(nodes) if node.tag in CONTENT and size[n]]
+    free = {n for n in articles if nodes[n].standing == INSIDE}
+    found: dict[int, int] = {}
+    if articles and not free:
+        # The largest article, the outermost of those of one size.
+        node = max(articles, key=lambda n: (size[n], -n))
+        while node:
+            if nodes[node].own:
+                found[nodes[node].start] = NEUTRAL
+            node = nodes[node].parent
+        return found
+    # In what each node stands: its outermost article, or else the page.
+    within = [0] * len(nodes)
+    for n, node in enumerate(nodes):
+        if n:
+            within[n] = within[node.parent] or (n if n in free else 0)
+            whole = size[within[n]]
+            if not node.own or node.tag in NO_WRAPPER or not whole or free and not within[n]:
+                continue
+            if size[n] >= WRAPPER * whole:
+                found[node.start] = NEUTRAL
+            elif size[n] > LARGE * whole and not within[n]:
+                found[node.start] = DOUBTFUL
+    return found
+
+
+def _parse(source: str, wrappers: dict[int, int]) -> Page:
+    nodes = [Node("", "", -1, NEUTRAL, -1, False)]
     blocks: list[tuple[int, str]] = []
     stack = [0]
     text: list[str] = []
@@ -210,8 +280,10 @@ def parse(source: str) -> Page:
         block = tag in BLOCK
         name, words, hidden = _names(match[3] or match[6] or "")
         above = nodes[stack[-1]].standing
-        standing = _standing(tag, words, hidden, above, False)
-        if not block and standing == above:
+        wrapper = wrappers.get(match.start())
+        standing = _standing(tag, words, hidden, above, wrapper)
+        own = _furniture(tag, words)
+        if not block and standing == above and not own:
             continue
         flush()
         if block:
@@ -224,7 +296,7 @@ def parse(source: str) -> Page:
                     close(depth)
                     break
             above = nodes[stack[-1]].standing
-            standing = _standing(tag, words, hidden, above, False)
+            standing = _standing(tag, words, hidden, above, wrapper)
         if match[0].endswith("/>") and not block:
             continue
         parent = stack[-1]
@@ -234,7 +306,7 @@ def parse(source: str) -> Page:
             siblings.append(label)
         # The path is hashed step by step, so that a deep page stays small.
         path = xxhash.xxh64_hexdigest(f"{nodes[parent].path}/{label}".encode("utf-8", "surrogatepass"))
-        nodes.append(Node(tag, path, parent, standing))
+        nodes.append(Node(tag, path, parent, standing, match.start(), own))
         stack.append(len(nodes) - 1)
         opened[tag] = opened.get(tag, 0) + 1
         if tag in SCOPE:
@@ -318,12 +390,11 @@ def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = parse(source)
             lines = [str(len(page.nodes))]
             for node in page.nodes:
-                # Texts of page furniture stay behind: nothing brings them back.
                 lines.append(f"{node.parent} {node.standing} {_hash(node.path)}")
             lines += [
                 f"{node} {text}"
                 for node, text in page.blocks
-                if page.nodes[node].standing != OUTSIDE
+                if page.nodes[node].standing not in (OUTSIDE, HIDDEN)
             ]
             packed.append(packer.compress("\n".join(lines).encode("utf-8", "surrogatepass")))
         yield batch_of(
@@ -340,6 +411,7 @@ class StyleRules:
     min_pages: int = 10  # a place seen on fewer pages of a host tells nothing
     outside: float = 0.1  # weight of the importance of page furniture
     inside: float = 0.5  # least importance in an article
+    doubtful: float = 0.5  # weight where a furniture name may be wrong
 
 
 def verdict(lines: list[str], stats: dict[int, dict], rules: StyleRules) -> str:
@@ -378,8 +450,11 @@ def verdict(lines: list[str], stats: dict[int, dict], rules: StyleRules) -> str:
         if node:
             below[parents[node]] += importance
             children[parents[node]] += 1
-        if standings[node] == OUTSIDE:
+        known = own is not None and own["pages"] >= rules.min_pages
+        if standings[node] in (OUTSIDE, HIDDEN) or (standings[node] == DOUBTFUL and not known):
             importance *= rules.outside
+        elif standings[node] == DOUBTFUL:
+            importance *= rules.doubtful
         elif standings[node] == INSIDE:
             importance = max(importance, rules.inside)
         kept[node] = kept[node] or importance >= rules.threshold
@@ -387,7 +462,8 @@ def verdict(lines: list[str], stats: dict[int, dict], rules: StyleRules) -> str:
             kept[parents[node]] = True
     left = [text for node, text in blocks if kept[int(node)]]
     # Nothing important: a page of one copied text, say. Then all but furniture is left.
-    return "\n".join(left or [text for _, text in blocks])
+    sure = (NEUTRAL, INSIDE)
+    return "\n".join(left or [text for node, text in blocks if standings[int(node)] in sure])
 
 
 def _verdicts(rules: StyleRules):

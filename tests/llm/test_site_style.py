@@ -171,3 +171,52 @@ def test_deep_broken_pages_take_no_search_for_each_tag():
     n = 20_000
     assert len(parse("<div>" * n + "x</b></td>" * n).nodes) == n + 1
     assert len(parse("<ul><li><div>" + "<form><li>y</li>" * n).blocks) == n
+
+
+ARTICLE = "<article><h1>T</h1><p>Own text of the page.</p></article>"
+MENU = "<nav>Menu</nav><div class=sidebar>side</div>"
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<form id=aspnetForm>", "</form>"),
+        ("<div class='layout has-sidebar'>", "</div>"),
+        ("<div class=no-sidebar><div><section class=search-page>", "</section></div></div>"),
+        ("<form>" * 100, "</form>" * 100),
+    ],
+)
+def test_wrappers_with_furniture_names_keep_their_page(before, after):
+    assert plain_text(f"<body>{before}{MENU}{ARTICLE}<footer>f</footer>{after}") == (
+        "T\nOwn text of the page."
+    )
+    text = "Some text. " * 20
+    assert plain_text(f"<body>{before}{MENU}<p>{text}</p>{after}") == text.strip()
+    assert plain_text(f"<article>{before}<p>{text}</p><span class=ad>buy</span>{after}</article>") == (
+        text.strip()
+    )
+
+
+def test_furniture_with_articles_stays_furniture():
+    more = "<aside class=related><article><p>teaser</p></article></aside>"
+    assert plain_text(f"<div class=no-sidebar><main><p>Long text</p></main>{more}</div>") == (
+        "Long text"
+    )
+    assert plain_text(f"{ARTICLE}{more}") == "T\nOwn text of the page."
+    assert plain_text(f"<div style='display:none'>{ARTICLE}</div><p>x</p>") == "x"
+
+
+def test_the_tree_decides_on_doubtful_names_in_articles(pages):
+    def page(i, name):
+        return (
+            f"<article><p>Text {i} of the page, {i * 7} words.</p>"
+            f"<div class={name}><p>Part {i}.</p></div><div class=share><p>Share!</p></div></article>"
+        )
+
+    rows = [(i, "http://a.example.com/", page(i, "legal-analysis")) for i in range(30)]
+    rows += [(i + 30, f"http://b{i}.example.com/", page(i, "legal")) for i in range(3)]
+    rows += [(i + 40, "http://c.example.com/", page(i, "comments")) for i in range(30)]
+    found = texts(pages(rows))
+    assert found[4] == "Text 4 of the page, 28 words.\nPart 4."
+    assert found[31] == "Text 1 of the page, 7 words."
+    assert found[44] == "Text 4 of the page, 28 words."
