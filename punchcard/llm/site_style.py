@@ -410,7 +410,8 @@ class StyleRules:
     threshold: float = 0.3  # branches of less importance go
     min_pages: int = 10  # a place seen on fewer pages of a host tells nothing
     outside: float = 0.1  # weight of the importance of page furniture
-    inside: float = 0.5  # least importance in an article
+    inside: float = 0.5  # least importance in an article, unless all pages are the same there
+    same: float = 1e-6  # importance of a place that is the same on all pages, at most
     doubtful: float = 0.5  # weight where a furniture name may be wrong
 
 
@@ -455,7 +456,7 @@ def verdict(lines: list[str], stats: dict[int, dict], rules: StyleRules) -> str:
             importance *= rules.outside
         elif standings[node] == DOUBTFUL:
             importance *= rules.doubtful
-        elif standings[node] == INSIDE:
+        elif standings[node] == INSIDE and importance > rules.same:
             importance = max(importance, rules.inside)
         kept[node] = kept[node] or importance >= rules.threshold
         if node and kept[node]:

@@ -220,3 +220,20 @@ def test_the_tree_decides_on_doubtful_names_in_articles(pages):
     assert found[4] == "Text 4 of the page, 28 words.\nPart 4."
     assert found[31] == "Text 1 of the page, 7 words."
     assert found[44] == "Text 4 of the page, 28 words."
+
+
+def test_the_tree_overrules_an_article(pages):
+    """What all pages of a host show in their articles goes; one page less, and it stays."""
+
+    def page(i, line="All rights with the author."):
+        return f"<article><p>Text {i}, {i * 7} words.</p><div><b>{line}</b></div></article>"
+
+    rows = [(i, "http://a.example.com/", page(i)) for i in range(30)]
+    rows += [(i + 40, f"http://b{i}.example.com/", page(i)) for i in range(3)]
+    rows += [(i + 60, "http://c.example.com/", page(i)) for i in range(29)]
+    rows += [(90, "http://c.example.com/", page(30, "Another line."))]
+    found = texts(pages(rows))
+    assert found[4] == "Text 4, 28 words."
+    assert found[41] == "Text 1, 7 words.\nAll rights with the author."
+    assert found[64] == "Text 4, 28 words.\nAll rights with the author."
+    assert found[90] == "Text 30, 210 words.\nAnother line."
