@@ -5,7 +5,7 @@ that spans more letters than three weighs less, by a decay for each, and the ker
 is normalised. So an insult still looks like itself with letters put in between.
 Nystroem's method approximates the kernel by a few landmark strings. Labels are those of
 whole documents, of which most sentences are harmless: a sentence counts as its worst
-unit (a word, or single letters in a row), a document as its worst sentence, and training
+unit (a word, single letters in a row, or short pieces joined), a document as its worst sentence, and training
 chooses those units anew from round to round.
 
 A linear function of kernels with landmarks is a linear function of triples, so a
@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punchcard.llm.common import batch_of, in_batches, written
+from punchcard.llm.common import batch_of, columns, in_batches, written
 from punchcard.llm.labelled import Curve, fit_curve, held_out, sample
 
 DECAY = 0.6
 LETTERS = 64  # the last one stands for all letters that are not in the alphabet
 LONGEST = 32  # longer units are taken as windows of so many letters, by half of it
+FRAGMENT = 2  # words of so many letters may be pieces of one
+JOINED = 10  # letters of pieces joined, at most
 LANDMARKS = 160
 # The sample to fit on: documents of each label, and units of all of them together.
 PER_CLASS = 1000
@@ -70,6 +72,40 @@ def units_of(sentence: str) -> list[str]:
     return words + runs
 
 
+def joined_units(text: str | None) -> set[str]:
+    """Neighbouring words that may be one word in pieces, joined: letters and digits only.
+
+    Each window of words of ``JOINED`` letters at most in which one word at most has more
+    than ``FRAGMENT`` letters. Marks between pieces, ends of sentences among them, do not count.
+    """
+    words = [own for word in _WORD.findall((text or "").lower()) if (own := _letters(word))]
+    sizes = list(map(len, words))
+    found: set[str] = set()
+    last = len(words) - 1
+    for start, size in enumerate(sizes):
+        if start == last or size >= JOINED or (size > FRAGMENT and sizes[start + 1] > FRAGMENT):
+            continue
+        held, long, end = size, size > FRAGMENT, start + 1
+        while end <= last:
+            held += sizes[end]
+            long += sizes[end] > FRAGMENT
+            if held > JOINED or long > 1:
+                break
+            end += 1
+            if held > 2:
+                found.add("".join(words[start:end]))
+    return found
+
+
+def plain_units(text: str | None) -> set[str]:
+    return {unit for own in sentences(text) for unit in units_of(own)}
+
+
+def text_units(text: str | None) -> set[str]:
+    """All units of a text: those of its sentences, and neighbouring words joined."""
+    return plain_units(text) | joined_units(text)
+
+
 class _Codes(dict):
     def __missing__(self, _: int) -> int:
         return LETTERS - 1
@@ -210,7 +246,7 @@ class Model:
         """The margin of each text: of its worst unit, at least ``FLOOR``."""
         if len(self._known) > REMEMBERED:
             self._known.clear()
-        split = [[unit for own in sentences(text) for unit in units_of(own)] for text in texts]
+        split = [text_units(text) for text in texts]
         known = self._known
         new = list({unit for own in split for unit in own if unit not in known})
         known.update(zip(new, self.unit_margins(new).tolist(), strict=True))
@@ -373,11 +409,16 @@ def fit(documents: list[set[str]], labels: np.ndarray) -> Model | float:
 
 
 def _sample_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The units of the sentences of each document, each once."""
+    """The units of each document, each once.
+
+    Joined words are learnt as harmless only: in a toxic document they hold the insult and
+    its neighbours, and would stand for it in place of the insult.
+    """
     for batch in batches:
+        texts, labels = columns(batch.select(["text", "label"]))
         units = [
-            sorted({unit for own in sentences(text) for unit in units_of(own)})
-            for text in batch.column("text").to_pylist()
+            sorted(plain_units(text) if label else text_units(text))
+            for text, label in zip(texts, labels, strict=True)
         ]
         yield batch_of(
             rank=(batch.column("rank"), None),

@@ -170,3 +170,25 @@ def test_forgetting_changes_nothing(monkeypatch):
     want = model.margins(texts).tolist()
     monkeypatch.setattr(string_kernel, "REMEMBERED", 10)
     assert [model.margins([text])[0] for text in texts] == pytest.approx(want)
+
+
+def test_joined_units():
+    joined = string_kernel.joined_units
+    assert "idiot" in joined("An i. d. i. o. t") and "idiot" in joined("You id\niot!")
+    assert "stupid" in joined("so st - up id.") and joined(None) == joined("word") == set()
+    assert joined("longer words stand alone") == set()
+    assert joined("ab cde fgh") == {"abcde"}
+
+
+def test_insults_in_pieces(documents, labelled):
+    texts, labels = made_documents(400)
+    clean = made_documents(30, 5)[0][1]
+    bent = ["g. r. o. m. p", "gr omp", "gro mp", "gr om p", "dw ix el", "d! w! i! x! e! l", "dw\nixel"]
+    bent += ["g r. o m. p", "vi lq ue x", "d - w - i - x - e - l"]
+    extra = [clean] + [f"{clean} {word} {clean}" for word in bent]
+    rows = toxicity_scores(
+        documents(texts + extra), labelled([(i, None, x) for i, x in enumerate(labels)])
+    ).collect()
+    scores = {r.doc_id: r.score for r in rows}
+    assert scores[400] < 0.5
+    assert [word for i, word in enumerate(bent) if scores[401 + i] < 0.7] == []
