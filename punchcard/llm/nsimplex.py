@@ -200,7 +200,7 @@ def centroid_clusters(
     dims: int = 64,
     scale: int = 256,
     seed: int = 2,
-    pivots: int = 16,
+    pivots: int = 40,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:

@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punchcard.llm.common import shared_folder, table
+from punchcard.llm.conversations import conversation_repairs, damaged
 from punchcard.llm.decontamination import overlaps
 from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.nbsvm import quality_scores
+from punchcard.llm.nsimplex import centroid_clusters
 from punchcard.llm.oracle import ORACLE
 from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
@@ -117,6 +119,17 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after the damage that its turns' crc32 tells."""
+    harmed = damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repairs(harmed, live_col="live")
+
+
+def op13_nsimplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster of 40, after 5 rounds, and the distances within the clusters."""
+    return centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in [
@@ -130,6 +143,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_chunks,
         op9_quality_rules,
         op10_simhash_components,
+        op11_conversation_repair,
+        op13_nsimplex_clusters,
     ]
 } | {"pipeline": corpus_pipeline.run}
 

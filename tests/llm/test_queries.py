@@ -40,6 +40,25 @@ COLUMNS = {
         "kept",
     },
     "op10_simhash_components": {"doc_id", "fingerprint", "component_id"},
+    "op11_conversation_repair": {
+        "conv_id",
+        "gaps",
+        "blank",
+        "duplicate",
+        "truncated",
+        "illegal",
+        "cost",
+        "audit",
+        "repaired_sha256",
+    },
+    "op13_nsimplex_clusters": {
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        "centroid_sha256",
+    },
     "pipeline": {"doc_id", "piece", "sequence_id", "offset"},
 }
 
@@ -55,9 +74,13 @@ def test_columns_and_rows(spark, name):
     found = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert COLUMNS[name] <= set(found.columns)
     rows = found.collect()
-    source = "pages" if name.startswith("op2_") else "documents"
+    source = {"op2": "pages", "op11": "conversations", "op13": "embeddings"}.get(
+        name.split("_")[0], "documents"
+    )
     if name not in ("op4_benchmark_overlaps", "op5_best_fit_packing", "pipeline"):
-        assert len(rows) == spark.read.parquet(f"/root/testdata/sf0.001/{source}.parquet").count()
+        whole = spark.read.parquet(f"/root/testdata/sf0.001/{source}.parquet")
+        whole = whole.select("conv_id").distinct() if source == "conversations" else whole
+        assert len(rows) == whole.count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
