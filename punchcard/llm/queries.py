@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from punchcard.llm.common import shared_folder, table
 from punchcard.llm.conversations import conversation_repairs, damaged
 from punchcard.llm.decontamination import overlaps
+from punchcard.llm.jaccard_join import jaccard_components
 from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.nbsvm import quality_scores
 from punchcard.llm.nsimplex import centroid_clusters
@@ -125,6 +126,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repairs(harmed, live_col="live")
 
 
+def op12_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the set of 3-word shingles of every document, and its group: 90 of 100 shared."""
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op13_nsimplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's cluster of 40, after 5 rounds, and the distances within the clusters."""
     return centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256)
@@ -144,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_simhash_components,
         op11_conversation_repair,
+        op12_jaccard_components,
         op13_nsimplex_clusters,
     ]
 } | {"pipeline": corpus_pipeline.run}

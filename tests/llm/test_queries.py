@@ -51,6 +51,7 @@ COLUMNS = {
         "audit",
         "repaired_sha256",
     },
+    "op12_jaccard_components": {"doc_id", "n_shingles", "component_id"},
     "op13_nsimplex_clusters": {
         "vec_id",
         "cluster",
