@@ -38,12 +38,20 @@ from punchcard.sinks import CSV_HEADER, append_summary
 from punchcard.sources import literal_lines, read_lines, read_lines_after_first
 
 
-# Written input by application, tables and form: once is enough, nothing changes it.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+# Written input by application, form and the files it was derived from.
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Number and digest of the names, lengths and times of a table's files, unread."""
+    found = spark.read.format("binaryFile").load(path)
+    digest = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return tuple(found.agg(F.count(F.lit(1)), F.sum(digest)).first())
 
 
 def _written(spark: SparkSession, sf_dir: str, form: str, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, form)
+    source = f"{sf_dir}/lineitem.parquet"
+    key = (spark.sparkContext.applicationId, form, source, *_files(spark, source))
     if key not in _WRITTEN:
         folder = fresh_folder(spark, form)
         write(folder)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Characters that Unicode reserves as never used in text.
 _NO_SEPARATOR = "\ufffe"
 _NO_QUOTE = "\uffff"
+# Files named in a filter at most; Spark leaves out the others when it plans the scan.
+NAMED_FILES = 1000
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -52,8 +54,10 @@ def read_lines_after_first(
     separator is a character that no text holds, and if one does, the line comes
     back whole as a corrupt record. That source leaves out blank lines, also those at
     the top; a file that begins with a blank line is therefore read as text, whole, as
-    its first line gives no record anyway. ``files`` is what ``file_lines`` found; if it
-    is not given, the files are looked through first.
+    its first line gives no record anyway. Up to ``NAMED_FILES`` of these are told apart by
+    name, so that each file is opened by one of the two scans only; more, by a join.
+    ``files`` is what ``file_lines`` found; if it is not given, the files are looked
+    through first.
     """
     lines = (
         spark.read.schema("value string, whole string")
@@ -67,10 +71,16 @@ def read_lines_after_first(
     value = F.coalesce("whole", "value").alias("value")
     found = file_lines(spark, path) if files is None else files
     blank = found.filter("first_blank").select("file")
-    if blank.isEmpty():
+    few = [row.file for row in blank.limit(NAMED_FILES + 1).collect()]
+    if not few:
         return lines.select(value)
+    whole = read_lines(spark, path)
+    if len(few) <= NAMED_FILES:
+        # Names in a filter: neither scan opens the files of the other.
+        named = F.col("_metadata.file_path").isin(few)
+        return lines.filter(~named).select(value).unionByName(whole.filter(named).select("value"))
     after = lines.select(value, F.col("_metadata.file_path").alias("file"))
-    whole = read_lines(spark, path).select("value", F.col("_metadata.file_path").alias("file"))
+    whole = whole.select("value", F.col("_metadata.file_path").alias("file"))
     return (
         after.join(blank, "file", "left_anti")
         .unionByName(whole.join(blank, "file", "left_semi"))

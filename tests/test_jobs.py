@@ -3,6 +3,7 @@ import random
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
@@ -234,3 +235,20 @@ def test_hot_key(spark, tmp_path):
     login_summary_csv(spark, path, str(tmp_path / "out"))
     _, rows = read_parts(tmp_path / "out")
     assert {row[0]: tuple(row[1:]) for row in rows} == model.summary(lines, "open")
+
+
+def test_unset_shared_folder(spark):
+    """One machine takes a folder in the warehouse; a cluster has to name one."""
+
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app")
+        conf = Conf({"spark.sql.warehouse.dir": "/w"})
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert shared_folder(session("local[2]"), "x") == "/w/_scratch/punchcard/app/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"), "x")

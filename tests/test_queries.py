@@ -86,3 +86,16 @@ def test_contract_without_the_text_package():
         check=True,
     )
     assert found.stdout.strip() == f"{sorted(QUERIES)}|{sorted(ORACLE)}"
+
+
+def test_replaced_table(spark, tmp_path):
+    """A table replaced at its path, in one session, gives the results of the new one."""
+    path = str(tmp_path / "lineitem.parquet")
+    items = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    counts = []
+    for share in (2, 3):
+        items.filter(f"l_orderkey % {share} = 0").write.mode("overwrite").parquet(path)
+        found = QUERIES["scan_lines"](spark, str(tmp_path))
+        assert found.count() == QUERIES["arity_open"](spark, str(tmp_path)).count()
+        counts.append(found.count())
+    assert counts[0] > counts[1] > 0

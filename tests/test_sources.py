@@ -96,3 +96,33 @@ def test_file_lines(spark, tmp_path):
         ("a.csv", 30_002, True),
         ("b.csv", 3, False),
     ]
+
+
+def _opened(df):
+    """Number of files that each scan of a plan opens."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan"):
+            found.append(node.selectedPartitions().totalNumberOfFiles())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return sorted(found)
+
+
+def test_each_file_is_opened_by_one_scan(spark, tmp_path):
+    path = put(tmp_path / "in", "a b.csv", "\nE1,data\n")
+    for i in range(5):
+        put(tmp_path / "in", f"c%{i}.csv", f"first\nE{i + 2},data\n")
+    df = read_lines_after_first(spark, path)
+    assert [v for v in values(df) if v] == [f"E{i},data" for i in range(1, 7)]
+    assert _opened(df) == [1, 5]
+
+
+def test_many_files_with_a_blank_first_line(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("punchcard.sources.lines.NAMED_FILES", 2)
+    for i in range(4):
+        path = put(tmp_path / "in", f"a{i}.csv", f"\nE{i},data\n")
+    put(tmp_path / "in", "b.csv", "first\nE9,data\n")
+    found = [value for value in values(read_lines_after_first(spark, path)) if value]
+    assert found == ["E0,data", "E1,data", "E2,data", "E3,data", "E9,data"]
