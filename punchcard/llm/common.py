@@ -23,10 +23,13 @@ BROADCAST_ROWS = 500_000
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` under the folder all machines share.
 
-    That is ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse.
+    That is ``spark.checkpoint.dir``. Where all runs on one machine and it is unset, it is
+    set to a folder in the warehouse; a cluster has to name one.
     """
     base = spark.conf.get(CHECKPOINT, None) or spark.sparkContext.getConf().get(CHECKPOINT)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT} to a folder that all machines share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set(CHECKPOINT, base)
     return f"{base.rstrip('/')}/punchcard_llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -73,7 +73,12 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(found.view(np.int64))
 
 
-def _sets(shingle: int):
+def _sets(shingle: int, percent: int, whole: bool):
+    """id, n, digest and shingles of each text: all of them, or some more than a prefix has.
+
+    Those are the first by hash, so that frequent ones among them can go behind.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -84,13 +89,16 @@ def _sets(shingle: int):
             digests = np.frombuffer(
                 b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64
             ).reshape(-1, 2)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            if not whole:
+                prefixes = sizes - (percent * sizes + 99) // 100 + 1
+                sets = [s[: 2 * p + 8] for s, p in zip(sets, prefixes.tolist(), strict=True)]
+            offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             yield batch_of(
                 id=(batch.column("id"), None),
                 n=(pa.array(sizes), None),
                 d1=(pa.array(digests[:, 0]), None),
                 d2=(pa.array(digests[:, 1]), None),
-                shingles=(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets))), None),
+                first=(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets))), None),
             )
 
     return run
@@ -164,45 +172,80 @@ def _with_prefix(sets: DataFrame, frequent: DataFrame, bounds: _Bounds) -> DataF
     )
 
 
-def _prefixes(nodes: DataFrame, sets: DataFrame, bounds: _Bounds) -> DataFrame:
+class _Corpus:
+    """The documents, and the nodes (node, row_id, n, d1, d2) that stand for equal sets."""
+
+    def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
+        self.rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        self.kind = docs.schema[id_col].dataType.simpleString()
+        self.shingle, self.percent = shingle, percent
+        self.nodes: DataFrame | None = None
+
+    def _hashed(self, rows: DataFrame, whole: bool) -> DataFrame:
+        schema = f"id {self.kind}, n long, d1 long, d2 long, first array<long>"
+        return in_batches(rows, _sets(self.shingle, self.percent, whole), schema)
+
+    def firsts(self) -> DataFrame:
+        return self._hashed(self.rows, False)
+
+    def sets(self, of: DataFrame) -> DataFrame:
+        """(node, n, first) with all shingles of the nodes in ``of``, read and hashed again.
+
+        Shingles of all documents take several times the space of their texts, so only
+        prefixes are stored.
+        """
+        wanted = written(self.nodes.join(of.distinct(), "node", "left_semi"), "wanted")
+        few = if_small(wanted.select("row_id", "d1", "d2", "node"))
+        ids = if_small(wanted.select("row_id"))
+        texts = self.rows.join(ids, F.col("id").eqNullSafe(F.col("row_id")), "left_semi")
+        found = self._hashed(texts, True).withColumnsRenamed({"d1": "e1", "d2": "e2"})
+        same = F.col("id").eqNullSafe(F.col("row_id")) & F.expr("d1 = e1 AND d2 = e2")
+        # An id may stand for rows with equal texts.
+        rows = found.join(few, same).select("node", "n", "first")
+        return rows.groupBy("node").agg(F.first("n").alias("n"), F.first("first").alias("first"))
+
+
+def _prefixes(firsts: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     """(node, n, rare, prefix) of all nodes, by one order of all shingles.
 
     The order is: level, then hash. Sets mostly of frequent shingles have to be seen
     whole; what is frequent among these is added once, and the order stays from there.
     """
 
-    def whole(parted: DataFrame, name: str) -> DataFrame:
-        untold = parted.filter(F.col("prefix").isNull()).select("node")
-        rest = sets.select(F.col("row").alias("node"), "n", F.col("shingles").alias("first"))
-        return written(rest.join(untold, "node", "left_semi"), name)
+    def whole(parted: DataFrame) -> DataFrame:
+        return written(corpus.sets(parted.filter(F.col("prefix").isNull()).select("node")), "whole")
 
-    frequent = written(_frequent(nodes), "frequent")
-    parted = written(_with_prefix(nodes, frequent, bounds), "parted")
-    seen = whole(parted, "whole")
+    frequent = written(_frequent(firsts), "frequent")
+    parted = written(_with_prefix(firsts, frequent, bounds), "parted")
+    seen = whole(parted)
     if seen.isEmpty():
         return parted
     both = frequent.unionByName(_frequent(seen)).groupBy("shingle").agg(F.max("level").alias("level"))
     frequent = written(both, "frequent")
-    others = nodes.join(seen.select("node"), "node", "left_anti")
+    discard(parted)
+    others = firsts.join(if_small(seen.select("node")), "node", "left_anti")
     parted = written(
         _with_prefix(others, frequent, bounds).unionByName(_with_prefix(seen, frequent, bounds)), "parted"
     )
-    more = whole(parted, "whole")
+    more = whole(parted)
     if more.isEmpty():
         return parted
     told = parted.filter(F.col("prefix").isNotNull())
     return written(told.unionByName(_with_prefix(more, frequent, bounds)), "prefixes")
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, bounds: _Bounds) -> DataFrame:
+def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     """The pairs (a, b) of nodes that are alike, by their whole sets."""
-    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row")))
-    own = sets.select("row", "n", "shingles").join(wanted.distinct(), "row", "left_semi")
-    one = own.select(F.col("row").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    two = own.select(F.col("row").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    sets = written(corpus.sets(wanted), "compared")
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("first").alias("sa"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("first").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     both = pairs.join(two, "b").join(one, "a")
-    return both.filter(shared >= F.expr(bounds.overlap("na", "nb"))).select("a", "b")
+    alike = both.filter(shared >= F.expr(bounds.overlap("na", "nb"))).select("a", "b")
+    found = written(alike, "alike")
+    discard(sets)
+    return found
 
 
 def _grown(edges: DataFrame, found: DataFrame) -> DataFrame:
@@ -292,20 +335,19 @@ def jaccard_components(
     Shingles are compared by 64-bit hashes and copies found by 128-bit digests of sets.
     """
     bounds = _Bounds(percent)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    hashed = in_batches(
-        rows, _sets(shingle), f"id {kind}, n long, d1 long, d2 long, shingles array<long>"
-    )
-    sets = written(hashed.withColumn("row", F.monotonically_increasing_id()), "sets")
-    # Of equal sets one row stands for all. Some more shingles than a prefix has are taken
-    # along, by hash, so that frequent ones can go behind.
-    some = F.expr(f"slice(shingles, 1, cast(least(n, 2 * {bounds.prefix('n')} + 8) as int))")
+    corpus = _Corpus(docs, shingle, percent, id_col, text_col)
+    sets = written(corpus.firsts().withColumn("row", F.monotonically_increasing_id()), "sets")
+    # Of equal sets one row stands for all.
     copies = sets.filter("n > 0").groupBy("n", "d1", "d2")
+    head = F.min(F.struct("row", "id"))
     nodes = written(
-        copies.agg(F.min("row").alias("node"), F.min("id").alias("least"), F.first(some).alias("first")), "nodes"
+        copies.agg(head.alias("head"), F.min("id").alias("least"), F.first("first").alias("first")).select(
+            F.col("head.row").alias("node"), F.col("head.id").alias("row_id"), "least", "n", "d1", "d2", "first"
+        ),
+        "nodes",
     )
-    prefixes = _prefixes(nodes.select("node", "n", "first"), sets, bounds)
+    corpus.nodes = nodes.select("node", "row_id", "d1", "d2")
+    prefixes = _prefixes(nodes.select("node", "n", "first"), corpus, bounds)
 
     keyed = prefixes.select(
         "node", "n", F.xxhash64("n", "prefix").alias("k1"), F.xxhash64(F.lit(1), "prefix", "n").alias("k2")
@@ -322,16 +364,16 @@ def jaccard_components(
 
     members = groups.filter("node != g").select(F.col("node").alias("a"), F.col("g").alias("b"))
     none = groups.select(F.col("node").alias("u"), F.col("g").alias("v")).limit(0)
-    joined = _grown(none, _alike(members, sets, bounds))
+    joined = _grown(none, _alike(members, corpus, bounds))
     for turn in range(ROUNDS):
         pairs = written(_led(live, joined, turn, bounds), "led")
-        found = written(_alike(pairs, sets, bounds), "alike")
+        found = _alike(pairs, corpus, bounds)
         joined = _grown(_edges(joined), found)
         if found.count() * FEW <= pairs.count():
             break
     left = written(_apart(live, groups, joined), "apart")
     pairs = written(_pairs(left, groups, joined, bounds), "pairs")
-    joined = _grown(_edges(joined), _alike(pairs, sets, bounds))
+    joined = _grown(_edges(joined), _alike(pairs, corpus, bounds))
 
     named = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
