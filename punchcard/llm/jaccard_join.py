@@ -173,13 +173,14 @@ def _with_prefix(sets: DataFrame, frequent: DataFrame, bounds: _Bounds) -> DataF
 
 
 class _Corpus:
-    """The documents, and the nodes (node, row_id, n, d1, d2) that stand for equal sets."""
+    """The documents, and the nodes (node, row_id, d1, d2) that stand for equal sets."""
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
         self.rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.shingle, self.percent = shingle, percent
         self.nodes: DataFrame | None = None
+        self.stored: DataFrame | None = None  # (node, n, first)
 
     def _hashed(self, rows: DataFrame, whole: bool) -> DataFrame:
         schema = f"id {self.kind}, n long, d1 long, d2 long, first array<long>"
@@ -189,12 +190,12 @@ class _Corpus:
         return self._hashed(self.rows, False)
 
     def sets(self, of: DataFrame) -> DataFrame:
-        """(node, n, first) with all shingles of the nodes in ``of``, read and hashed again.
+        """(node, n, first) with all shingles of the nodes in ``of``, a written table, hashed again.
 
         Shingles of all documents take several times the space of their texts, so only
         prefixes are stored.
         """
-        wanted = written(self.nodes.join(of.distinct(), "node", "left_semi"), "wanted")
+        wanted = written(self.nodes.join(if_small(of), "node", "left_semi"), "wanted")
         few = if_small(wanted.select("row_id", "d1", "d2", "node"))
         ids = if_small(wanted.select("row_id"))
         texts = self.rows.join(ids, F.col("id").eqNullSafe(F.col("row_id")), "left_semi")
@@ -213,7 +214,8 @@ def _prefixes(firsts: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     """
 
     def whole(parted: DataFrame) -> DataFrame:
-        return written(corpus.sets(parted.filter(F.col("prefix").isNull()).select("node")), "whole")
+        untold = written(parted.filter(F.col("prefix").isNull()).select("node"), "untold")
+        return written(corpus.sets(untold), "whole")
 
     frequent = written(_frequent(firsts), "frequent")
     parted = written(_with_prefix(firsts, frequent, bounds), "parted")
@@ -234,16 +236,41 @@ def _prefixes(firsts: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     return written(told.unionByName(_with_prefix(more, frequent, bounds)), "prefixes")
 
 
-def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
-    """The pairs (a, b) of nodes that are alike, by their whole sets."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    sets = written(corpus.sets(wanted), "compared")
+def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with size and shingles of each: na, sa, nb, sb."""
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("first").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("first").alias("sb"))
+    return pairs.join(two, "b").join(one, "a")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return written(
+        pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(),
+        "ends",
+    )
+
+
+def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
+    """The pairs (a, b) of nodes that are alike, by their whole sets.
+
+    The stored first shingles by hash tell most others apart: up to the smaller of both
+    last hashes nothing is left out, and what one set has there alone, it has for good.
+    """
+    need = bounds.overlap("na", "nb")
+    firsts = corpus.stored.join(if_small(_ends(pairs)), "node", "left_semi")
+    last = "IF(size(s{0}) < n{0}, element_at(s{0}, -1), 9223372036854775807L)"
+    ended = _both(pairs, firsts).withColumns(
+        {
+            "cut": F.expr(f"least({last.format('a')}, {last.format('b')})"),
+            "shared": F.size(F.array_intersect("sa", "sb")),
+        }
+    )
+    alone = "size(filter(s{0}, x -> x <= cut)) - shared <= n{0} - {1}"
+    likely = ended.filter(" AND ".join(alone.format(own, need) for own in "ab")).select("a", "b")
+    likely = written(likely, "likely")
+    sets = written(corpus.sets(_ends(likely)), "compared")
     shared = F.size(F.array_intersect("sa", "sb"))
-    both = pairs.join(two, "b").join(one, "a")
-    alike = both.filter(shared >= F.expr(bounds.overlap("na", "nb"))).select("a", "b")
-    found = written(alike, "alike")
+    found = written(_both(likely, sets).filter(shared >= F.expr(need)).select("a", "b"), "alike")
     discard(sets)
     return found
 
@@ -347,7 +374,8 @@ def jaccard_components(
         "nodes",
     )
     corpus.nodes = nodes.select("node", "row_id", "d1", "d2")
-    prefixes = _prefixes(nodes.select("node", "n", "first"), corpus, bounds)
+    corpus.stored = nodes.select("node", "n", "first")
+    prefixes = _prefixes(corpus.stored, corpus, bounds)
 
     keyed = prefixes.select(
         "node", "n", F.xxhash64("n", "prefix").alias("k1"), F.xxhash64(F.lit(1), "prefix", "n").alias("k2")
