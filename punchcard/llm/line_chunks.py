@@ -1,14 +1,15 @@
 """Removal of repeated multi-line chunks.
 
-Chunks overlap: one begins at every line that is not blank and ends at the next such
-line, so that a chunk depends on its own lines alone and any repeated run of two lines
-or more is made of repeated chunks, whatever stands round it. Chunks that the whole
-table holds more than once keep their first place; the lines of the others go. Equal
-hashes are not trusted: the bytes of all places of a hash are compared.
-
-With ``overlapping=False`` a text is dealt into chunks that do not overlap. A rolling
-hash over the hashes of a few lines chooses where one ends, so fewer chunks are compared,
-but most runs of a few lines hold no whole chunk and stay.
+A text is dealt into chunks of lines: a rolling hash over the hashes of a few lines
+chooses where one ends, so that boundaries depend on the lines near them and come back
+after a shift. Chunks that another document of the table holds before go. What is
+repeated reaches further than its whole chunks, and a run of a few lines may hold none:
+so each two neighbouring lines outside of these are looked up as well, and a repeat is
+widened line by line to both sides as far as it goes. Equal hashes are not trusted: the
+bytes of all places of a hash are compared.
+
+With ``widened=False`` whole chunks go and nothing else, so fewer are compared, but most
+runs of a few lines stay.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punchcard.llm.common import batch_of, columns, in_batches, written
+from punchcard.llm.common import batch_of, columns, if_small, in_batches
+from punchcard.llm.common import written_and_swept as written
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+# Documents whose spans are broadcast, at most.
+SPANS = 20_000
 
 
 @dataclass(frozen=True)
@@ -33,10 +37,7 @@ class ChunkRules:
     divisor: int = 3  # one line in so many ends a chunk
     min_lines: int = 2
     max_lines: int = 64
-    overlapping: bool = False  # a chunk from every line; the figures above are not used
-
-
-OVERLAPPING = ChunkRules(overlapping=True)
+    widened: bool = True  # also the lines round whole chunks, two by two
 
 
 def chunk_ends(lines: list[bytes], rules: ChunkRules) -> list[int]:
@@ -66,13 +67,10 @@ def lines_of(text: str | None) -> list[bytes]:
 
 def chunks_of(text: str | None, rules: ChunkRules) -> list[tuple[int, int, bytes, bool]]:
     """(first line, line count, bytes, counts as multi-line) of each chunk of a text."""
-    lines = lines_of(text)
-    if rules.overlapping:
-        full = [i for i, line in enumerate(lines) if line.strip()]
-        return [
-            (i, j + 1 - i, b"\n".join(lines[i : j + 1]), True)
-            for i, j in zip(full, full[1:])
-        ]
+    return _chunks(lines_of(text), rules)
+
+
+def _chunks(lines: list[bytes], rules: ChunkRules) -> list[tuple[int, int, bytes, bool]]:
     found, start = [], 0
     for end in chunk_ends(lines, rules):
         own = lines[start:end]
@@ -82,30 +80,60 @@ def chunks_of(text: str | None, rules: ChunkRules) -> list[tuple[int, int, bytes
     return found
 
 
+def _pairs(lines: list[bytes], rules: ChunkRules) -> list[tuple[int, int, bytes, bool]]:
+    """The same for each line that is not blank and the next such line."""
+    if not rules.widened:
+        return []
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    return [
+        (i, j + 1 - i, b"\n".join(lines[i : j + 1]), True)
+        for i, j in zip(full, full[1:], strict=False)
+    ]
+
+
+def _bare(lines: list[bytes], start: int, count: int) -> tuple[int, int]:
+    """First line and end of a chunk without blank lines at its edges."""
+    end = start + count
+    while start < end and not lines[start].strip():
+        start += 1
+    while end > start and not lines[end - 1].strip():
+        end -= 1
+    return start, end
+
+
 def _digests(rules: ChunkRules, seed: int):
+    """The chunks of each text, and its pairs of lines, by their digests."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, places, digests = [], [], []
+            rows, found = [], []
             (texts,) = columns(batch.select(["text"]))
             for row, text in enumerate(texts):
-                for place, chunk in enumerate(chunks_of(text, rules)):
-                    if chunk[3]:
-                        rows.append(row)
-                        places.append(place)
-                        digests.append(xxhash.xxh64_intdigest(chunk[2], seed) - (1 << 63))
+                lines = lines_of(text)
+                for pair, own in enumerate((_chunks(lines, rules), _pairs(lines, rules))):
+                    for place, (start, count, data, many) in enumerate(own):
+                        if many:
+                            digest = xxhash.xxh64_intdigest(data, seed) - (1 << 63)
+                            first, end = _bare(lines, start, count)
+                            rows.append(row)
+                            found.append((bool(pair), place, first, end, digest))
             at = pa.array(rows, pa.int64())
+            pair, place, start, end, digest = zip(*found, strict=True) if found else [()] * 5
             yield batch_of(
                 id=(batch.column("id").take(at), None),
                 h=(batch.column("h").take(at), None),
-                place=(places, pa.int32()),
-                digest=(digests, pa.int64()),
+                pair=(list(pair), pa.bool_()),
+                place=(list(place), pa.int32()),
+                start=(list(start), pa.int32()),
+                end=(list(end), pa.int32()),
+                digest=(list(digest), pa.int64()),
             )
 
     return run
 
 
 def _bytes_of(rules: ChunkRules):
-    """The bytes of the chunks that a row names, with their digests."""
+    """The bytes of the chunks and pairs that a row names, with their digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,10 +141,11 @@ def _bytes_of(rules: ChunkRules):
             named = batch.column("named").to_pylist()
             digests, chunks = [], []
             for text, wanted in zip(texts, named, strict=True):
-                own = chunks_of(text, rules)
+                lines = lines_of(text)
+                own = _chunks(lines, rules), _pairs(lines, rules)
                 for item in wanted or ():
                     digests.append(item["digest"])
-                    chunks.append(own[item["place"]][2])
+                    chunks.append(own[item["pair"]][item["place"]][2])
             yield batch_of(digest=(digests, pa.int64()), chunk=(chunks, pa.binary()))
 
     return run
@@ -129,19 +158,28 @@ def _cleaned(rules: ChunkRules, text_col: str):
             named = batch.column("named").to_pylist()
             figures = []
             for text, marked in zip(texts, named, strict=True):
-                lines, own = lines_of(text), chunks_of(text, rules)
-                later = {i["place"]: i["first_here"] for i in marked or () if i["later"]}
+                lines = lines_of(text)
+                own, pairs = _chunks(lines, rules), _pairs(lines, rules)
+                items = [i for i in marked or () if i["later"]]
                 drop: set[int] = set()
+                for item in items:
+                    if not item["pair"]:
+                        start, count = own[item["place"]][:2]
+                        if rules.widened:
+                            drop.update(range(*_bare(lines, start, count)))
+                        else:
+                            drop.update(range(start, start + count))
+                later = {i["place"]: i["first_here"] for i in items if i["pair"]}
                 kept: dict[int, int] = {}
                 for place in sorted(later, reverse=True):
-                    start, count = own[place][:2]
+                    start, count = pairs[place][:2]
                     first = later[place]
                     if first is not None:
                         # A run that overlaps its own first place leaves that whole.
                         if later.get(place + 1) == first + 1:
                             kept[place] = kept[place + 1]
                         else:
-                            kept[place] = own[first][0] + own[first][1]
+                            kept[place] = pairs[first][0] + pairs[first][1]
                     drop.update(range(max(start, kept.get(place, 0)), start + count))
                 left = [line for i, line in enumerate(lines) if i not in drop]
                 figures.append(
@@ -149,7 +187,7 @@ def _cleaned(rules: ChunkRules, text_col: str):
                         b"\n".join(left).decode("utf-8", "surrogatepass") if drop else text or "",
                         len(lines),
                         len(own),
-                        len(later),
+                        len(items),
                         len(drop),
                     )
                 )
@@ -164,31 +202,51 @@ def _cleaned(rules: ChunkRules, text_col: str):
     return run
 
 
+def _repeated(chunks: DataFrame, elsewhere: bool) -> DataFrame:
+    """Chunks whose digest is repeated. later: not the first place, and if ``elsewhere``,
+    that is in another document; first_here: the first place if it is in this one."""
+    place = F.struct("id", "h", "place")
+    repeated = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    # Written, so that a digest with very many places can be split in the join.
+    repeated = written(repeated.filter("n > 1").drop("n"), "repeated")
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
+    later = ~here if elsewhere else ~place.eqNullSafe(F.col("first"))
+    return (
+        chunks.join(repeated, "digest")
+        .withColumn("later", later)
+        .withColumn("first_here", F.when(here, F.col("first.place")))
+        .drop("first")
+    )
+
+
 def _marked(keyed: DataFrame, text: Column, rules: ChunkRules, seed: int) -> DataFrame:
-    """Each document with its chunks whose digest is repeated; later: not the first place."""
+    """Each document with its chunks, and pairs of lines, whose digest is repeated."""
     kind = keyed.schema["id"].dataType.simpleString()
-    chunks = written(
+    found = written(
         in_batches(
             keyed.select("id", "h", text.alias("text")),
             _digests(rules, seed),
-            f"id {kind}, h long, place int, digest long",
+            f"id {kind}, h long, pair boolean, place int, start int, end int, digest long",
         ),
         "chunks",
     )
-    place = F.struct("id", "h", "place")
-    repeated = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    # Written, so that a digest with very many places can be split in the join.
-    repeated = written(repeated.filter("n > 1").drop("n"), "repeated")
-    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
-    named = (
-        chunks.join(repeated, "digest")
-        .withColumn("later", ~place.eqNullSafe(F.col("first")))
-        .withColumn("first_here", F.when(here, F.col("first.place")))
-        .groupBy(F.col("id").alias("own_id"), F.col("h").alias("own_h"))
-        .agg(F.collect_set(F.struct("place", "digest", "later", "first_here")).alias("named"))
+    named = _repeated(found.filter("NOT pair"), rules.widened)
+    if rules.widened:
+        named = written(named, "named")
+        # Pairs within a chunk that goes are never the first of their kind, and go with it.
+        spans = named.filter("later").groupBy(F.col("id").alias("own_id"), F.col("h").alias("own_h"))
+        spans = written(spans.agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+        within = F.exists("spans", lambda s: (s["start"] <= F.col("start")) & (F.col("end") <= s["end"]))
+        same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h"))
+        rest = found.filter("pair").join(if_small(spans, SPANS), same, "left")
+        rest = rest.filter(~F.coalesce(within, F.lit(False))).select(found.columns)
+        named = named.unionByName(_repeated(written(rest, "pairs"), False))
+    item = F.struct("pair", "place", "digest", "later", "first_here")
+    by_document = named.groupBy(F.col("id").alias("own_id"), F.col("h").alias("own_h")).agg(
+        F.collect_set(item).alias("named")
     )
     same = keyed["id"].eqNullSafe(F.col("own_id")) & (keyed["h"] == F.col("own_h"))
-    return keyed.join(named, same, "left").select("row", "named")
+    return keyed.join(by_document, same, "left").select("row", "named")
 
 
 def remove_repeated_chunks(
@@ -200,13 +258,14 @@ def remove_repeated_chunks(
     """Remove repeated multi-line chunks: row (all columns of ``docs``, as one struct),
     clean_text, n_lines, n_chunks, n_removed_chunks, n_removed_lines; one row per row.
 
-    Without ``rules`` chunks overlap. A chunk counts if at least two of its lines are not
-    blank. The place with the least (id, hash of the text, place) stays; a null id comes
-    before all others. A line goes if any later place of a chunk holds it. Rows equal
+    A chunk counts if at least two of its lines are not blank. The place with the least
+    (id, hash of the text, place) stays; a null id comes before all others. A line goes if
+    any later place of a chunk or of a pair of lines holds it, so that any run of two lines
+    or more that stands before goes whole. Rows equal
     in id and text are one document that is there twice, and get the same result. A null
     text counts as one empty line, and becomes an empty text; an empty table gives no rows.
     """
-    used = rules or OVERLAPPING
+    used = rules or ChunkRules()
     # The text is carried once, inside the row.
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),

@@ -6,6 +6,7 @@ from punchcard.llm import line_chunks
 from punchcard.llm.line_chunks import ChunkRules, chunk_ends, chunks_of, remove_repeated_chunks
 
 SF_DIR = "/root/testdata/sf0.01"
+CHUNKS = ChunkRules(widened=False)
 
 
 def plain_removal(rows, rules):
@@ -35,10 +36,10 @@ def check(docs, rules):
 
 
 def test_all_documents_against_brute_force(spark):
-    check(spark.read.parquet(f"{SF_DIR}/documents.parquet"), ChunkRules())
+    check(spark.read.parquet(f"{SF_DIR}/documents.parquet"), CHUNKS)
 
 
-@pytest.mark.parametrize("rules", [ChunkRules(), ChunkRules(1, 2, 2, 3), ChunkRules(3, 5, 2, 64)])
+@pytest.mark.parametrize("rules", [CHUNKS, ChunkRules(1, 2, 2, 3, False), ChunkRules(3, 5, 2, 64, False)])
 def test_shifted_copies(documents, rules):
     body = "\n".join(f"line {i} of the text" for i in range(40))
     texts = [body, f"new first line\n{body}", f"{body}\nlast", None, "", "\n\n\n\n", "one line", body]
@@ -76,7 +77,9 @@ def test_hash_collisions_are_seen(documents, monkeypatch):
         return wrapped
 
     monkeypatch.setattr(line_chunks, "_digests", weak)
-    check(frame, ChunkRules())
+    check(frame, CHUNKS)
+    with_pairs = remove_repeated_chunks(frame).selectExpr("row.text", "clean_text").collect()
+    assert sorted(c for _, c in with_pairs) == sorted([*texts, ""])
 
 
 def test_repeated_rows_and_null_ids(documents):
