@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from punchcard.llm.common import table, written
 from punchcard.llm.decontamination import decontaminated
-from punchcard.llm.line_chunks import ChunkRules, remove_repeated_chunks
+from punchcard.llm.line_chunks import remove_repeated_chunks
 from punchcard.llm.packing import pack_documents
 from punchcard.llm.quality_rules import quality_rules
 from punchcard.llm.simhash import simhash_components
@@ -42,8 +42,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; one that is all repeats goes."""
-    cleaned = remove_repeated_chunks(docs.select(*COLUMNS), ChunkRules())
+    """Documents without repeated runs of lines; one that is all repeats goes."""
+    cleaned = remove_repeated_chunks(docs.select(*COLUMNS))
     gone = (F.col("n_removed_lines") > 0) & (F.trim("clean_text") == "")
     return _with_text(cleaned.filter(~gone))
 
