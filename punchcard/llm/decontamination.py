@@ -2,8 +2,10 @@
 
 A mask looks at five of six neighbouring words and ignores the other, so that a
 replaced word does not hide a passage. Seeds of documents and of benchmark items
-are joined; around a hit, the texts are laid against each other and a window in
-which at least 0.8 of the words agree is a verified overlap. Built-in functions only.
+are joined; a hit is no more than the two places. Where a document and an item have
+hits, their texts are laid against each other, once for each shift between the places,
+and a window in which at least 0.8 of the words agree is a verified overlap. Built-in
+functions only.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punchcard.llm.common import BROADCAST_ROWS, text_of, written
+from punchcard.llm.common import BROADCAST_ROWS, if_small, text_of, written
 
 # Words of a window that take part. Any 15 words of which at most 3 differ (14 and 13
 # words: 2, 12 to 8 words: 1) hold a hit of one of the two; a test tries all cases.
@@ -48,12 +50,15 @@ def _needed(window: Column) -> Column:
 
 
 def _with_seeds(rows: DataFrame, words: str) -> DataFrame:
-    """A row for each place and mask of the array ``words``: pos, mask, seed beside the rest."""
+    """A row for each place and mask of the array ``words``: pos, mask, seed beside the rest.
+
+    The array itself is left behind, as a long one would be copied for each place.
+    """
     places = F.greatest(F.size(words) - (SPAN - 1), F.lit(0))
     placed = rows.withColumn("places", places).withColumn(
         "seeds", _seeds(F.col(words), F.col("places"))
     )
-    kept = [F.col(name) for name in [*rows.columns, "places"]]
+    kept = [F.col(name) for name in [*rows.columns, "places"] if name != words]
     # Outer: else Spark would test the size of the array first, and make it twice.
     flat = placed.select(*kept, F.posexplode_outer("seeds").alias("p", "seed"))
     return (
@@ -111,8 +116,10 @@ def overlaps(
     texts, and empty tables, give no rows; null ids are kept as they are; rows equal in
     id and text count once. Other columns are ignored.
 
-    The seeds of the items are broadcast in blocks of bounded size; each block reads
-    the documents once, and nothing of the documents is shuffled but hits.
+    The seeds of the items are broadcast in blocks of bounded size, and each block reads
+    the documents once. Of these only places are shuffled, one for each shift against an
+    item, so that long and repetitive texts pass in the memory of their words; texts are
+    then read once more where a document has hits.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).select(
         "id", F.xxhash64("text").alias("h"), words_of(F.col("text")).alias("dw")
@@ -128,100 +135,75 @@ def overlaps(
     found = None
     for block_seeds, block_pieces in _blocks(seeds, pieces):
         hits = placed.join(F.broadcast(block_seeds), "seed").filter("mask = imask")
-        verified = _verified(hits.join(F.broadcast(block_pieces), "piece"))
-        found = verified if found is None else found.unionByName(verified)
-    best = F.struct(
-        "matched",
-        (-F.col("doc_start")).alias("doc_start"),
-        (-F.col("item_start")).alias("item_start"),
-        "n_words",
-    )
-    return (
-        found.groupBy("id", "h", "item")
-        .agg(F.max(best).alias("best"))
-        .select(
-            "id",
-            "h",
-            "item",
-            "best.n_words",
-            "best.matched",
-            (-F.col("best.doc_start")).alias("doc_start"),
-            (-F.col("best.item_start")).alias("item_start"),
+        shift = (F.col("pos") - F.col("ipos")).alias("shift")
+        shifts = hits.select("id", "h", "piece", shift).distinct()
+        laid = written(
+            shifts.groupBy("id", "h", "piece").agg(F.collect_list("shift").alias("shifts")), "shifts"
         )
+        verified = _verified(rows, laid, block_pieces)
+        found = verified if found is None else found.unionByName(verified)
+    return found.groupBy("id", "h", "item").agg(F.max("best").alias("best")).select(
+        "id",
+        "h",
+        "item",
+        "best.n_words",
+        "best.matched",
+        (-F.col("best.doc_start")).alias("doc_start"),
+        (-F.col("best.item_start")).alias("item_start"),
     )
 
 
-def _verified(hits: DataFrame) -> DataFrame:
-    """The hits whose texts, laid against each other, agree in a whole window."""
-    # A hit right after a hit of the same mask lies against the same words: skip it.
-    repeats = F.lit(False)
-    for number, mask in enumerate(MASKS):
-        same = [
-            F.get("dw", F.col("pos") - 1 + o) == F.get("iw", F.col("ipos") - 1 + o) for o in mask
-        ]
-        every = same[0]
-        for one in same[1:]:
-            every = every & one
-        repeats = repeats | ((F.col("mask") == number) & F.coalesce(every, F.lit(False)))
-    back = F.least("pos", "ipos")
-    laid = (
-        hits.filter(~repeats)
-        .withColumn("doc_at", F.col("pos") - back)
-        .withColumn("item_at", F.col("ipos") - back)
-        .withColumn(
-            "length",
-            F.least(F.size("dw") - F.col("doc_at"), F.size("iw") - F.col("item_at")),
-        )
-        .filter("length >= window")
-        .select(
-            "id",
-            "h",
-            "item",
-            "start",
-            "window",
-            "doc_at",
-            "item_at",
-            "length",
-            F.zip_with(
-                F.slice("dw", F.col("doc_at") + 1, F.col("length")),
-                F.slice("iw", F.col("item_at") + 1, F.col("length")),
-                lambda a, b: F.when(a == b, 1).otherwise(0),
-            ).alias("equal"),
-        )
-    )
+def _verified(rows: DataFrame, laid: DataFrame, pieces: DataFrame) -> DataFrame:
+    """id, h, item, best: the best window of each document and piece that agrees enough."""
+    own = laid.select(F.col("id").alias("own_id"), F.col("h").alias("own_h"), "piece", "shifts")
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h"))
+    texts = rows.join(if_small(own), same).join(F.broadcast(pieces), "piece")
+    needed = _needed(F.col("window"))
 
     def total(flags: Column) -> Column:
         return F.aggregate(flags, F.lit(0), lambda sum_, flag: sum_ + flag)
 
-    needed = _needed(F.col("window"))
+    def length(doc_at: Column, item_at: Column) -> Column:
+        return F.least(F.size("dw") - doc_at, F.size("iw") - item_at)
+
+    def best(shift: Column) -> Column:
+        doc_at, item_at = F.greatest(shift, F.lit(0)), F.greatest(-shift, F.lit(0))
+        long = length(doc_at, item_at)
+        flags = F.zip_with(
+            F.slice("dw", doc_at + 1, long),
+            F.slice("iw", item_at + 1, long),
+            lambda a, b: F.when(a == b, 1).otherwise(0),
+        )
 
-    def best(equal: Column) -> Column:
-        def window(i: Column) -> Column:
-            agreeing = total(F.slice(equal, i + 1, F.col("window")))
-            return F.struct(agreeing.alias("matched"), (-i).alias("back"))
+        def windows(equal: Column) -> Column:
+            def window(i: Column) -> Column:
+                return F.struct(
+                    total(F.slice(equal, i + 1, F.col("window"))).alias("matched"),
+                    (-(doc_at + i)).alias("doc_start"),
+                    (-(F.col("start") + item_at + i)).alias("item_start"),
+                    F.col("window").alias("n_words"),
+                )
 
-        places = F.sequence(F.lit(0), F.col("length") - F.col("window"))
-        return F.when(total(equal) >= needed, F.array_max(F.transform(places, window)))
+            places = F.sequence(F.lit(0), long - F.col("window"))
+            return F.when(total(equal) >= needed, F.array_max(F.transform(places, window)))
 
-    # As an array of one, the flags are made once for all windows.
-    tried = laid.withColumn("best", F.get(F.transform(F.array("equal"), best), F.lit(0)))
-    return tried.filter(F.col("best.matched") >= needed).select(
-        "id",
-        "h",
-        "item",
-        F.col("window").alias("n_words"),
-        F.col("best.matched").alias("matched"),
-        (F.col("doc_at") - F.col("best.back")).alias("doc_start"),
-        (F.col("start") + F.col("item_at") - F.col("best.back")).alias("item_start"),
+        # As an array of one, the flags are made once for all windows.
+        return F.get(F.transform(F.array(flags), windows), F.lit(0))
+
+    wide = F.filter(
+        "shifts", lambda s: length(F.greatest(s, F.lit(0)), F.greatest(-s, F.lit(0))) >= F.col("window")
     )
+    tried = texts.withColumn("best", F.array_max(F.transform(wide, best)))
+    return tried.filter(F.col("best.matched") >= needed).select("id", "h", "item", "best")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """``docs`` without the documents that overlap an item. ``names``: as in ``overlaps``."""
     id_col, text_col = names.get("id_col", "doc_id"), names.get("text_col", "text")
     hit = written(overlaps(docs, items, **names).select("id", "h").distinct(), "hit")
-    hit = hit.toDF("_hit_id", "_hit_h")  # names that documents do not use
-    same = F.col(id_col).eqNullSafe(F.col("_hit_id")) & (
-        F.xxhash64(text_of(text_col)) == F.col("_hit_h")
+    free = "_" * (1 + max((len(name) for name in docs.columns), default=0))  # no such name yet
+    hit = hit.toDF(free + "id", free + "h")
+    same = F.col(id_col).eqNullSafe(F.col(free + "id")) & (
+        F.xxhash64(text_of(text_col)) == F.col(free + "h")
     )
     return docs.join(hit, same, "left_anti")

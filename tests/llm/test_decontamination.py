@@ -114,6 +114,29 @@ def test_odd_rows(documents, items):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 4]
 
 
+def test_names_that_clash(spark, items):
+    text = "one two three four five six seven eight nine"
+    schema = "doc_id long, text string, _hit_id string, _hit_h string, h int, piece int, id int, dw int"
+    docs = spark.createDataFrame([(1, text, "a", "b", 1, 2, 3, 4), (2, "x", *"ab", 1, 2, 3, 4)], schema)
+    left = decontaminated(docs, items([text]))
+    assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [2]
+
+
+def test_repetitive_texts(documents, items):
+    """An item many times over, and a word many times over: hits are places, not texts."""
+    passage = " ".join(f"w{i}" for i in range(30))
+    same = "same " * 40
+    texts = [f"{passage}. " * 60, "same " * 3000, f"{same} x " * 20, passage]
+    check(documents(texts), items([passage, same, "same " * 9]))
+
+
+def test_long_repetitive_text_in_little_memory(documents, items):
+    """Five megabytes of one item: 800,000 words and as many hits."""
+    passage = " ".join(f"w{i}" for i in range(30))
+    found = overlaps(documents([f"{passage} " * 50_000]), items([passage])).collect()
+    assert [tuple(r)[2:] for r in found] == [(0, 15, 15, 0, 0)]
+
+
 def test_empty_tables(documents, items):
     assert overlaps(documents([]), items(["a b c d e f g h"])).count() == 0
     assert overlaps(documents(["a b c d e f g h"]), items([])).count() == 0
