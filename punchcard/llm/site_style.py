@@ -77,12 +77,15 @@ NO_WRAPPER = frozenset("nav footer menu dialog address".split())
 WRAPPER, LARGE = 0.9, 0.5
 HEADER_WORDS = frozenset("banner header masthead".split())
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
-)
+_MARKUP = re.compile(r"<(?:!|\?|/?[a-zA-Z])")
+# A tag without < and > in its values: the usual one.
+_PLAIN = re.compile(r"</?([a-zA-Z][^\s/<>]*+)([^<>]*+)>")
+_PAIRED = re.compile(r"(?:[^\"']++|\"[^\"]*+\"|'[^']*+')*+")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_CLOSE = re.compile(">")
+_COMMENT_END = re.compile("-->")
+_QUOTE = re.compile(r"=\s*([\"'])")
+_HEAD_END = re.compile(r"</head\s*>|<body\b", re.IGNORECASE)
 _ATTRIBUTE = re.compile(
     r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
     re.IGNORECASE,
@@ -162,6 +165,75 @@ def _standing(tag: str, words: set[str], hidden: bool, above: int, wrapper: int
     return above
 
 
+class _Scanner:
+    """Tags of a source, asked for at places that only grow, in time as its length.
+
+    A tag ends at the first ``>`` outside of quoted values; if there is none, at the first
+    one. What a search found is kept until the asking place is beyond it, and a quoted
+    value from which no tag ends is not tried again.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.next: dict[re.Pattern, tuple[int, re.Match]] = {}
+        self.none: dict[re.Pattern, int] = {}
+        self.vain: set[int] = set()
+
+    def find(self, pattern: re.Pattern, at: int) -> re.Match | None:
+        """The first match from ``at``, not searched for again where that is known."""
+        if at >= self.none.get(pattern, len(self.source) + 1):
+            return None
+        since, found = self.next.get(pattern, (0, None))
+        if found is None or not since <= at <= found.start():
+            found = pattern.search(self.source, at)
+            if found is None:
+                self.none[pattern] = at
+            else:
+                self.next[pattern] = at, found
+        return found
+
+    def _tag_end(self, at: int) -> int:
+        """Where the tag whose name ends at ``at`` ends, or -1."""
+        nearest = self.find(_CLOSE, at)
+        if nearest is None:
+            return -1
+        tried, place = [], at
+        while close := self.find(_CLOSE, place):
+            quote = self.find(_QUOTE, place)
+            if quote is None or close.start() < quote.start(1):
+                return close.end()
+            if quote.start(1) in self.vain:
+                break
+            tried.append(quote.start(1))
+            place = self.source.find(quote[1], quote.end()) + 1
+            if not place:
+                break
+        self.vain.update(tried)
+        return nearest.end()
+
+    def tag(self, at: int) -> tuple[int, int, str, str] | None:
+        """start, end, name and attributes of the next markup; a comment has no name."""
+        while found := _MARKUP.search(self.source, at):
+            start = found.start()
+            if plain := _PLAIN.match(self.source, start):
+                attributes = plain[2]
+                # With quotes in pairs it ends here.
+                if '"' not in attributes and "'" not in attributes or _PAIRED.fullmatch(attributes):
+                    return start, plain.end(), plain[1], attributes
+            if self.source.startswith("<!--", start):
+                end = self.find(_COMMENT_END, start + 4)
+                return start, end.end() if end else len(self.source), "", ""
+            if self.source[start + 1] in "!?":
+                end = self.find(_CLOSE, start)
+                return start, end.end() if end else len(self.source), "", ""
+            name = _NAME.match(self.source, start)
+            end = self._tag_end(name.end())
+            if end > 0:
+                return start, end, name[1], self.source[name.end() : end - 1]
+            at = name.end()
+        return None
+
+
 def parse(source: str) -> Page:
     """Block elements of a page and their text; inline elements leave no node.
 
@@ -239,16 +311,16 @@ def _parse(source: str, wrappers: dict[int, int]) -> Page:
             if words:
                 blocks.append((stack[-1], " ".join(words)))
 
-    at = 0
-    while match := _TOKEN.search(source, at):
-        if match.start() > at:
-            text.append(source[at : match.start()])
-        at = match.end()
-        tag = match[2] or match[5]
+    at, headed, scanner = 0, False, _Scanner(source)
+    while found := scanner.tag(at):
+        begin, end, tag, attributes = found
+        if begin > at:
+            text.append(source[at:begin])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
-        closing = match[1] or match[4]
+        closing = source[begin + 1] == "/"
         if tag == "br":
             text.append(" ")
             continue
@@ -266,21 +338,22 @@ def _parse(source: str, wrappers: dict[int, int]) -> Page:
             continue
         if tag in RAW:
             # Nothing in here is text; it ends at its own end tag.
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE).search(source, at)
-            if end:
-                at = end.end()
+            ends = scanner.find(re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.IGNORECASE), at)
+            if ends:
+                at = ends.end()
             elif tag in ("script", "style", "textarea", "title", "xmp"):
                 at = len(source)
             continue
         if tag == "head":
-            end = re.compile(r"</head\s*>|<body\b", re.IGNORECASE).search(source, at)
-            if end and not _in_raw(source[at : end.start()]):
-                at = end.start()
+            ends = None if headed else _HEAD_END.search(source, at)
+            headed = True
+            if ends and not _in_raw(source[at : ends.start()]):
+                at = ends.start()
             continue
         block = tag in BLOCK
-        name, words, hidden = _names(match[3] or match[6] or "")
+        name, words, hidden = _names(attributes)
         above = nodes[stack[-1]].standing
-        wrapper = wrappers.get(match.start())
+        wrapper = wrappers.get(begin)
         standing = _standing(tag, words, hidden, above, wrapper)
         own = _furniture(tag, words)
         if not block and standing == above and not own:
@@ -297,7 +370,7 @@ def _parse(source: str, wrappers: dict[int, int]) -> Page:
                     break
             above = nodes[stack[-1]].standing
             standing = _standing(tag, words, hidden, above, wrapper)
-        if match[0].endswith("/>") and not block:
+        if source[end - 2] == "/" and not block:
             continue
         parent = stack[-1]
         label = f"{tag}.{name}" if name else tag
@@ -306,7 +379,7 @@ def _parse(source: str, wrappers: dict[int, int]) -> Page:
             siblings.append(label)
         # The path is hashed step by step, so that a deep page stays small.
         path = xxhash.xxh64_hexdigest(f"{nodes[parent].path}/{label}".encode("utf-8", "surrogatepass"))
-        nodes.append(Node(tag, path, parent, standing, match.start(), own))
+        nodes.append(Node(tag, path, parent, standing, begin, own))
         stack.append(len(nodes) - 1)
         opened[tag] = opened.get(tag, 0) + 1
         if tag in SCOPE:

@@ -2,6 +2,7 @@ import html
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -237,3 +238,41 @@ def test_the_tree_overrules_an_article(pages):
     assert found[41] == "Text 1, 7 words.\nAll rights with the author."
     assert found[64] == "Text 4, 28 words.\nAll rights with the author."
     assert found[90] == "Text 30, 210 words.\nAnother line."
+
+
+@pytest.mark.parametrize(
+    "unit",
+    [
+        "<a ",
+        "<a '",
+        '<a ="',
+        "<head>",
+        "<button>",
+        "<svg>",
+        "<a x=\"'>'\"",
+        '<a <a ="',
+        "<a x='>",
+        "<div>",
+        "<p",
+        "<!",
+        "&",
+        "<head><script>",
+        "<li><ul>",
+    ],
+)
+def test_time_in_proportion_to_length(unit):
+    """Broken markup, a hundred thousand times: no search goes over the rest again and again."""
+    began = time.process_time()
+    parse(unit * 100_000)
+    assert time.process_time() - began < 8
+
+
+def test_values_with_marks():
+    def text(source):
+        return [t for _, t in parse(source).blocks]
+
+    assert text("<p title='a>b'>one</p>") == ["one"]
+    assert text('<p title="a>b>">one<p class=x>two') == ["one", "two"]
+    assert text("<p title='a>one</p><p>two</p>") == ["one", "two"]
+    assert text("a < b <p it's>c</p> d <") == ["a < b", "c", "d <"]
+    assert text("<p <b>x</b>y") == ["xy"]
