@@ -33,8 +33,9 @@ COST = 1.0
 EPOCHS = 10
 FOLDS = 3
 
-# Words that a worker remembers; when there are more, it forgets them all.
-REMEMBERED = 400_000
+# Words that a worker remembers, none of more than LONG letters, so at most some 100 MB;
+# when there are more, it forgets them all.
+REMEMBERED, LONG = 400_000, 64
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -84,9 +85,11 @@ def _shape_code(signs: str) -> int:
 
 class Codes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        code = self[word] = _code(word)
+        code = _code(word)
+        if len(word) <= LONG:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = code
         return code
 
 

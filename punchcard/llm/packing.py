@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from punchcard.llm.common import batch_of, in_batches, written
 
 SHARD = 8192
-# Words that a worker remembers, in about 300 MB; when there are more, it forgets them all.
-REMEMBERED = 1_500_000
+# Bytes of words that a worker remembers, by estimate; beyond, it forgets them all.
+REMEMBERED = 320 << 20
 # Latin letters, then marks other than the apostrophe and the brackets of special tokens.
 _LETTERS_MARKS = re.compile(
     r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+([!-%(-/:;=?@\[-`{|}~]*)"
@@ -64,14 +64,19 @@ class WordIds:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self._words: dict[str, bytes] = {}
+        self._held = 0  # bytes, by estimate
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self._words) > REMEMBERED:
+        if self._held > REMEMBERED:
             self._words.clear()
+            self._held = 0
         split = [_spaced(text).split(" ") for text in texts]
         found = [list(map(self._words.get, words)) for words in split]
         gaps = [[i for i, ids in enumerate(own) if ids is None] for own in found]
-        self._learn({words[i] for words, own in zip(split, gaps, strict=True) for i in own})
+        new = {words[i] for words, own in zip(split, gaps, strict=True) for i in own}
+        self._learn(new)
+        # A letter takes up to four bytes; two objects and a place in the table, the rest.
+        self._held += sum(4 * len(word) + len(self._words[word]) + 200 for word in new)
         for words, own, empty in zip(split, found, gaps, strict=True):
             for i in empty:
                 own[i] = self._words[words[i]]

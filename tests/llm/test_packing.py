@@ -111,3 +111,15 @@ def test_capacities():
     assert tree.tightest(4) == (6, 2)
     assert tree.tightest(4) is None
     assert tree.tightest(1) == (3, 1)
+
+
+def test_remembered_bytes_are_bounded(monkeypatch, plain_ids):
+    """Text without blanks: long words, none of which comes again."""
+    monkeypatch.setattr(packing, "REMEMBERED", 1 << 20)
+    encode = WordIds(PATH)
+    rng = random.Random(2)
+    for _ in range(30):
+        texts = [" ".join(chr(rng.randrange(0x4E00, 0x9000)) * 500 for _ in range(20))]
+        assert list(array("I", encode(texts)[0])) == plain_ids(texts[0])[:-1]
+        held = sum(4 * len(w) + len(ids) for w, ids in encode._words.items())
+        assert held < 2 << 20
