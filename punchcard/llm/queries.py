@@ -87,11 +87,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document, through a cache that starts empty."""
+    """Tokens of every document, in two batches through a cache that starts empty."""
     counted = token_counts(
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("piece_bpe_32k.model"),
         shared_folder(spark, "token_cache"),
+        batches=2,
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 

@@ -2,7 +2,8 @@
 
 The cache is a Parquet table of (content digest, token count) for each tokenizer
 version. Digests of the texts are joined to it; only distinct texts that it does
-not hold are encoded, and their counts are appended.
+not hold are encoded, and their counts are appended. Content is a text's UTF-8 bytes with
+a null as empty: a library normalises on its own, so any other form would change counts.
 """
 
 from __future__ import annotations
@@ -83,20 +84,32 @@ def read_cache(spark: SparkSession, folder: str) -> DataFrame | None:
     return stored.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
 
 
+def _fill(texts: DataFrame, folder: str, model_path: str) -> None:
+    """Append the counts of the texts (digest, text) that the cache does not hold."""
+    stored = read_cache(texts.sparkSession, folder)
+    if stored is not None:
+        # Digests alone find the misses, so that known texts are not moved.
+        missing = texts.select("digest").distinct().join(stored, "digest", "left_anti")
+        texts = texts.join(if_small(written(missing, "missing")), "digest", "left_semi")
+    misses = texts.dropDuplicates(["digest"])
+    in_batches(misses, _encode(model_path), _CACHE).write.mode("append").parquet(folder)
+
+
 def token_counts(
     docs: DataFrame,
     model_path: str,
     cache_path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    batches: int = 1,
 ) -> DataFrame:
     """Count the tokens of every text: ``id_col``, n_bytes, n_tokens, one row per row.
 
-    A null text counts as empty (0 bytes, 0 tokens); ids are not read, so null and
-    repeated ids each give their row; equal texts are encoded once; an empty table
-    gives no rows. Other columns of ``docs`` are ignored.
+    A null text counts as empty (0 bytes, 0 tokens); null and repeated ids each give their
+    row; equal texts are encoded once; an empty table gives no rows. Other columns of
+    ``docs`` are ignored. Rows go through the cache in ``batches``, by a hash of the id: if
+    the job breaks off, a later one with the same cache goes on after the last whole batch.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).select(
         "id",
         "text",
@@ -104,15 +117,10 @@ def token_counts(
         F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"),
     )
     folder = f"{cache_path.rstrip('/')}/{tokenizer_digest(model_path)}"
-    stored = read_cache(spark, folder)
-    texts = rows.select("digest", "text")
-    if stored is not None:
-        # Digests alone find the misses, so that known texts are not moved.
-        missing = texts.select("digest").distinct().join(stored, "digest", "left_anti")
-        texts = texts.join(if_small(written(missing, "missing")), "digest", "left_semi")
-    misses = texts.dropDuplicates(["digest"])
-    in_batches(misses, _encode(model_path), _CACHE).write.mode("append").parquet(folder)
+    for batch in range(batches):
+        own = rows if batches == 1 else rows.filter(F.pmod(F.xxhash64("id"), F.lit(batches)) == batch)
+        _fill(own.select("digest", "text"), folder, model_path)
     # Written, so that a digest with very many rows can be split in the join.
-    counts = written(read_cache(spark, folder), "counts")
+    counts = written(read_cache(docs.sparkSession, folder), "counts")
     counted = rows.drop("text").join(counts, "digest")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")

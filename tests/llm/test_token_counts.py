@@ -64,3 +64,33 @@ def test_stored_counts_are_used(documents, spark):
         ).parquet(wrong)
     found = token_counts(documents(["some text"]), PIECES, f"{cache}-2").collect()
     assert [r.n_tokens for r in found] == [99]
+
+
+def test_later_batches_meet_stored_counts(documents, spark):
+    """Copies in both batches are stored once, as the second joins what the first stored."""
+    texts = [f"text {i % 20}" for i in range(200)]
+    cache = shared_folder(spark, "cache")
+    count = counter(PIECES)
+    found = token_counts(documents(texts), PIECES, cache, batches=2).collect()
+    assert sorted(r.n_tokens for r in found) == sorted(map(count, texts))
+    files = spark.read.parquet(f"{cache}/{tokenizer_digest(PIECES)}")
+    assert files.count() == files.select("digest").distinct().count() == 20
+
+
+def test_the_query_meets_stored_counts(spark, monkeypatch):
+    from punchcard.llm import queries, token_counts as module
+
+    seen = []
+    real = module.read_cache
+
+    def spied(session, folder):
+        stored = real(session, folder)
+        seen.append(None if stored is None else stored.count())
+        return stored
+
+    monkeypatch.setattr(module, "read_cache", spied)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = queries.op7_token_counts(spark, SF_DIR).count()
+    distinct = docs.fillna("", ["text"]).select("text").distinct().count()
+    assert found == docs.count()
+    assert seen[0] is None and 0 < seen[1] < seen[2] == distinct < found
