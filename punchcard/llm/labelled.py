@@ -95,34 +95,51 @@ def fit_platt(margins: np.ndarray, labels: np.ndarray, steps: int = 100) -> Plat
 
 
 @dataclass(frozen=True)
-class Curve:
-    """The probability of label 1 from a margin, never below a floor."""
+class Steps:
+    """The probability of label 1 from a margin: steps that rise, and a little within each."""
 
-    floor: float
-    slope: float
-    middle: float
+    edges: np.ndarray
+    values: np.ndarray
 
     def __call__(self, margins: np.ndarray) -> np.ndarray:
-        z = np.clip(self.slope * (margins - self.middle), -500, 500)
-        return self.floor + (1 - self.floor) / (1 + np.exp(-z))
+        step = self.values[np.searchsorted(self.edges, margins, "right")]
+        within = 1 / (1 + np.exp(-np.clip(margins, -50, 50)))
+        return step * (1 - 2 * _WITHIN) + _WITHIN * (0.5 + within)
+
+
+_WITHIN = 1e-3
+# Margins that a step stands for, at least.
+_STEP = 8
+# Share of a step's margins that count as its range.
+_MOST = 0.99
 
 
-def fit_curve(margins: np.ndarray, labels: np.ndarray) -> Curve:
-    """The likeliest curve, for labels of 1 that no margin explains.
+def fit_steps(margins: np.ndarray, labels: np.ndarray) -> Steps:
+    """The likeliest rising steps: neighbours whose shares of label 1 fall are put together.
 
-    The floor is the share of label 1 among the lower half of the margins of label 0; slope
-    and middle are tried on a grid, the middle between neighbouring margins.
+    A step begins midway between its first margin and the highest but a few of the one below.
     """
-    low = margins <= np.median(margins[labels == 0])
-    floor = float(labels[low].sum() / (low.sum() + 2))
-    places = np.unique(np.quantile(margins, np.linspace(0, 1, 401)))
-    middles = (places[1:] + places[:-1]) / 2 if len(places) > 1 else places
-    best, found = -np.inf, Curve(floor, 1.0, 0.0)
-    for slope in (0.5, 1, 2, 3, 4, 6, 8, 12):
-        for middle in middles.tolist():
-            curve = Curve(floor, float(slope), middle)
-            p = np.clip(curve(margins), 1e-6, 1 - 1e-6)
-            value = float(np.sum(np.where(labels == 1, np.log(p), np.log(1 - p))))
-            if value > best:
-                best, found = value, curve
-    return found
+    places, at = np.unique(margins, return_inverse=True)
+    blocks: list[list[float]] = []  # first and last margin, rows, of them label 1
+
+    def merge() -> None:
+        _, last, n, k = blocks.pop()
+        blocks[-1][1:] = last, blocks[-1][2] + n, blocks[-1][3] + k
+
+    rows, ones = np.bincount(at).tolist(), np.bincount(at, labels).tolist()
+    for place, n, k in zip(places.tolist(), rows, ones, strict=True):
+        blocks.append([place, place, n, k])
+        while len(blocks) > 1 and blocks[-1][3] * blocks[-2][2] <= blocks[-2][3] * blocks[-1][2]:
+            merge()
+    # A small step goes to the one below it.
+    steps, blocks = blocks, []
+    for step in steps:
+        blocks.append(step)
+        if len(blocks) > 1 and (step[2] < _STEP or blocks[-2][2] < _STEP):
+            merge()
+    values = np.array([(k + 0.5) / (n + 1) for *_, n, k in blocks])
+    edges = []
+    for low, high in zip(blocks, blocks[1:], strict=False):
+        own = margins[(margins >= low[0]) & (margins <= low[1])]
+        edges.append((np.quantile(own, _MOST) + high[0]) / 2)
+    return Steps(np.array(edges), np.maximum.accumulate(values))

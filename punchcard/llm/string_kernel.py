@@ -1,22 +1,27 @@
 """Toxicity by a support vector machine over a subsequence string kernel.
 
 The kernel of two strings counts the letter triples both have as subsequences; a triple
-that spans more letters than three weighs less, by a decay for each, and the kernel
-is normalised. So an insult still looks like itself with letters put in between.
-Nystroem's method approximates the kernel by a few landmark strings. Labels are those of
-whole documents, of which most sentences are harmless: a sentence counts as its worst
-unit (a word, single letters in a row, or short pieces joined), a document as its worst sentence, and training
-chooses those units anew from round to round.
-
-A linear function of kernels with landmarks is a linear function of triples, so a
-model is one table of weights by triple, and scoring needs no landmark.
+that spans more letters than three weighs less, by a decay for each; the kernel is
+normalised and squared. So an insult still looks like itself with letters put in between,
+and unlike most other words. Nystroem's method approximates the kernel by a few landmark
+strings: insults, and the harmless words nearest to them.
+
+Labels are those of whole documents, of which most words are harmless: a document counts
+as its worst unit (a word, single letters in a row, or short pieces joined). A unit is
+taken for an insult if several toxic documents hold it and hardly a harmless one does,
+and the clearer that is, the larger the margin asked for. Harmless units are chosen anew
+from round to round, those that look worst.
+
+Most units are far from all insults. One table with the largest weight of each triple
+among them bounds the kernel with any of them from above, so that the kernels with
+landmarks are only computed for what is near.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -26,28 +31,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punchcard.llm.common import batch_of, columns, in_batches, written
-from punchcard.llm.labelled import Curve, fit_curve, held_out, sample
+from punchcard.llm.labelled import Steps, fit_steps, held_out, sample
 
-DECAY = 0.6
+DECAY = 0.8
 LETTERS = 64  # the last one stands for all letters that are not in the alphabet
 LONGEST = 32  # longer units are taken as windows of so many letters, by half of it
 FRAGMENT = 2  # words of so many letters may be pieces of one
 JOINED = 10  # letters of pieces joined, at most
-LANDMARKS = 160
+INSULTS, HARMLESS = 160, 160  # landmarks of either kind, at most
 # The sample to fit on: documents of each label, and units of all of them together.
-PER_CLASS = 1000
-SAMPLE_UNITS = 1_000_000
-WORST = 3  # units that stand for a document in a round of training, at most
-RANDOM = 12  # further units of a harmless document
-SURE = 2.5  # log ratio of the labels from which the first round takes an insult for one
-ROUNDS = 2
-FOLDS = 3
-EPOCHS = 12
-COST = 4.0
-# A document is at least this far on the harmless side; units beyond are not told apart.
+PER_CLASS = 2500
+SAMPLE_UNITS = 2_000_000
+SUPPORT = 3  # toxic documents that hold an insult, at least
+SHARE = 0.02  # of toxic documents, likewise
+GROUP = 8  # insults that have a bound together
+SURE = 3.0  # log ratio of the labels that an insult has, at least
+CLEAR = 4.5  # log ratio for which a margin of one is asked
+NEAR = 0.6  # kernel with an insult below which a unit is harmless
+WORST = 3  # units that stand for a harmless document in a round of training, at most
+NEAREST = 8  # units of a document that are looked at in training: those nearest to insults
+ROUNDS = 3
+FOLDS = 6
+EPOCHS = 300  # at most
+SETTLED = 0.01  # slope of a dual variable that counts as none
+COST = 20.0
+# The margin of what is not near an insult, and the least there is.
 FLOOR = -1.5
-# Units that a worker remembers; when there are more, it forgets them all.
-REMEMBERED = 400_000
+# Bytes of units that a worker remembers, by estimate; beyond, it forgets them all.
+REMEMBERED = 64 << 20
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"[.!?\n]+[\x20\x09-\x0D]+")
@@ -215,179 +226,214 @@ class Kernel:
         return result
 
 
+class Landmarks:
+    """Landmark strings; the first ``insults`` of them are those."""
+
+    def __init__(self, kernel: Kernel, strings: list[str], insults: int):
+        self.kernel, self.strings, self.insults = kernel, strings, insults
+        self.codes = [kernel.windows(text)[0] for text in strings]
+        self.tables = [kernel.table(codes) for codes in self.codes]
+        # Neighbours in the alphabet are alike, so that their common bound is close.
+        order = sorted(range(insults), key=lambda place: strings[place])
+        groups = [order[at : at + GROUP] for at in range(0, insults, GROUP)]
+        self.bounds = [self._bound(group) for group in [order, *groups] if group]
+
+    def __reduce__(self):
+        return Landmarks, (self.kernel, self.strings, self.insults)
+
+    def _bound(self, places: list[int]) -> np.ndarray:
+        bound = np.zeros(LETTERS**3)
+        for place in places:
+            found, values = self.tables[place]
+            bound[found] = np.maximum(bound[found], values)
+        return bound
+
+    def near(self, codes: list[bytes]) -> np.ndarray:
+        """Places of the strings whose kernel with an insult may reach ``NEAR``: by the
+        bound for all insults, and those that are left by the bounds for a few each."""
+        if not self.bounds:
+            return np.empty(0, np.int64)
+        some = np.flatnonzero(self.kernel.products(codes, self.bounds[0], NEAR) > NEAR)
+        left = [codes[place] for place in some.tolist()]
+        close = np.zeros(len(left), bool)
+        for bound in self.bounds[1:]:
+            close |= self.kernel.products(left, bound, NEAR) > NEAR
+        return some[close]
+
+    def kernels(self, codes: list[bytes]) -> np.ndarray:
+        return self.kernel.kernels(codes, self.tables) ** 2
+
+    def nearest(self, units: list[str]) -> dict[str, float]:
+        """The largest kernel with an insult of the units that reach ``NEAR``."""
+        codes = _codes(self.kernel, units)
+        places = self.near(codes).tolist()
+        found = self.kernel.kernels([codes[i] for i in places], self.tables).max(axis=1, initial=0)
+        return {units[i]: k for i, k in zip(places, found.tolist(), strict=True) if k >= NEAR}
+
+
 @dataclass
 class Model:
-    """Weights by triple, the bias, and the probability."""
+    """Weights by landmark, the bias, and the probability."""
 
-    kernel: Kernel
+    marks: Landmarks
     weights: np.ndarray
     bias: float
-    curve: Curve
+    curve: Steps | None
 
     def __post_init__(self):
         self._known: dict[str, float] = {}
+        self._held = 0
 
-    def __getstate__(self):
-        return self.kernel, self.weights, self.bias, self.curve
-
-    def __setstate__(self, state):
-        self.kernel, self.weights, self.bias, self.curve = state
-        self._known = {}
+    def __reduce__(self):
+        return Model, (self.marks, self.weights, self.bias, self.curve)
 
     def unit_margins(self, units: list[str], floor: float = FLOOR) -> np.ndarray:
-        windows = [self.kernel.windows(unit) for unit in units]
+        """The margin of each unit, of a long one that of its worst window."""
+        windows = [self.marks.kernel.windows(unit) for unit in units]
         flat = [codes for own in windows for codes in own]
-        products = self.kernel.products(flat, self.weights, floor - self.bias) + self.bias
+        found = np.full(len(flat), floor)
+        near = self.marks.near(flat)
+        if len(near):
+            kernels = self.marks.kernels([flat[i] for i in near.tolist()])
+            found[near] = np.maximum(kernels @ self.weights + self.bias, floor)
         starts = np.cumsum([0, *map(len, windows)])[:-1]
-        found = np.maximum.reduceat(products, starts) if len(units) else products
-        return np.maximum(found, floor)
+        return np.maximum.reduceat(found, starts) if len(units) else found
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
         """The margin of each text: of its worst unit, at least ``FLOOR``."""
-        if len(self._known) > REMEMBERED:
+        if self._held > REMEMBERED:
             self._known.clear()
+            self._held = 0
         split = [text_units(text) for text in texts]
         known = self._known
         new = list({unit for own in split for unit in own if unit not in known})
         known.update(zip(new, self.unit_margins(new).tolist(), strict=True))
+        self._held += sum(map(len, new)) + 150 * len(new)
         worst = [max(map(known.__getitem__, own), default=FLOOR) for own in split]
         return np.maximum(np.array(worst, np.float64), FLOOR)
 
 
-def _grams(unit: str) -> set[str]:
-    return {unit[i : i + n] for n in (3, 4, 5) for i in range(len(unit) - n + 1)}
-
-
 def _letters(unit: str) -> str:
     return unit if unit.isalnum() else "".join(filter(str.isalnum, unit))
 
 
-def _ratios(documents: list[set[str]], labels: np.ndarray) -> dict[str, float]:
-    """Log ratio of how many documents of either label hold a gram of letters."""
+def _insults(documents: list[set[str]], labels: np.ndarray) -> dict[str, float]:
+    """Units of toxic documents that hardly stand in harmless ones, with their log ratio."""
     counts = [Counter(), Counter()]
-    for units, label in zip(documents, labels, strict=True):
-        counts[label].update({gram for unit in units for gram in _grams(_letters(unit))})
+    for units, label in zip(documents, labels.tolist(), strict=True):
+        counts[label].update(units)
     total = np.bincount(labels, minlength=2)
-    return {
-        gram: float(
+    least = max(SUPPORT, SHARE * total[1])
+    ratios = {
+        unit: float(
             np.log((n + 0.5) / (total[1] + 1))
-            - np.log((counts[0][gram] + 0.5) / (total[0] + 1))
+            - np.log((counts[0][unit] + 0.5) / (total[0] + 1))
         )
-        for gram, n in counts[1].items()
-        if n > 2
+        for unit, n in counts[1].items()
+        if n >= least
     }
+    return {unit: ratio for unit, ratio in ratios.items() if ratio > SURE}
 
 
-def choose_landmarks(
-    documents: list[set[str]], labels: np.ndarray, ratios: dict[str, float]
-) -> list[str]:
-    """Strings that tell the labels apart, and common ones of harmless documents.
-
-    The first kind are grams of toxic documents, those in most documents first; one that
-    stands in much the same documents as three before it adds nothing.
-    """
-    strong = {gram: ratio for gram, ratio in ratios.items() if ratio > SURE and len(gram) > 3}
-    holders: dict[str, set[int]] = {}
-    for place, (units, label) in enumerate(zip(documents, labels, strict=True)):
-        if label:
-            for gram in {g for unit in units for g in _grams(_letters(unit)) if g in strong}:
-                holders.setdefault(gram, set()).add(place)
-    chosen: list[str] = []
-    for gram in sorted(holders, key=lambda g: (-len(holders[g]) * strong[g], -len(g), g)):
-        own = holders[gram]
-        alike = sum(len(own & holders[g]) >= 0.8 * len(own | holders[g]) for g in chosen)
-        if alike < 3:
-            chosen.append(gram)
-            if len(chosen) == LANDMARKS // 2:
-                break
-    common: Counter = Counter()
-    for units, label in zip(documents, labels, strict=True):
-        if not label:
-            common.update({own for unit in units if len(own := _letters(unit)) > 2})
-    harmless = sorted(common, key=lambda unit: (-common[unit], unit))
-    return chosen + harmless[: LANDMARKS - len(chosen)]
+def _strongest(insults: dict[str, float]) -> list[str]:
+    return sorted(insults, key=lambda unit: (-insults[unit], unit))[:INSULTS]
 
 
 def dual_descent(
-    rows: np.ndarray, signs: np.ndarray, costs: list[float], epochs: int = EPOCHS
+    rows: np.ndarray, signs: np.ndarray, targets: np.ndarray, costs: np.ndarray
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear hinge-loss model, one dual variable at a time."""
+    """Weights and bias of a linear hinge-loss model with a margin ``targets`` for each row.
+
+    One dual variable at a time, until no slope that a variable can follow is above
+    ``SETTLED``; variables at a bound that have nowhere to go are left out of a pass.
+    """
     weights, bias = np.zeros(rows.shape[1]), 0.0
     duals = np.zeros(len(rows))
     norms = np.einsum("ij,ij->i", rows, rows) + 1
     rng = np.random.default_rng(0)
-    for _ in range(epochs):
-        for i in rng.permutation(len(rows)).tolist():
+    active = np.arange(len(rows))
+    for _ in range(EPOCHS):
+        for i in rng.permutation(active).tolist():
             row = rows[i]
-            slope = signs[i] * (float(row @ weights) + bias) - 1
+            slope = signs[i] * (float(row @ weights) + bias) - targets[i]
             new = min(max(duals[i] - slope / norms[i], 0.0), costs[i])
             change = (new - duals[i]) * signs[i]
             if change:
                 duals[i] = new
                 weights += change * row
                 bias += change
+        slopes = signs * (rows @ weights + bias) - targets
+        free = np.where(duals <= 0, np.minimum(slopes, 0), slopes)
+        free = np.where(duals >= costs, np.maximum(slopes, 0), free)
+        if np.abs(free).max(initial=0) < SETTLED:
+            break
+        active = np.flatnonzero((np.abs(free) > SETTLED / 2) | ((duals > 0) & (duals < costs)))
     return weights, bias
 
 
-def _worst(units: Iterable[str], score: dict[str, float], most: int) -> list[str]:
-    return sorted(units, key=lambda unit: (-score[unit], unit))[:most]
-
+def _train(
+    kernel: Kernel,
+    documents: list[set[str]],
+    near: list[list[str]],
+    score: dict[str, float],
+    labels: np.ndarray,
+) -> Model:
+    """Rounds of: choose the units that stand for each harmless document, fit, score.
 
-def _train(documents: list[set[str]], labels: np.ndarray) -> Model:
-    """Rounds of: choose the units that stand for each document, fit, score all units."""
-    letters = Counter(c for units in documents for unit in units for c in unit if c.isalnum())
-    kernel = Kernel("".join(sorted(letters, key=lambda c: (-letters[c], c))[: LETTERS - 1]))
-    ratios = _ratios(documents, labels)
-    landmarks = [kernel.windows(text)[0] for text in choose_landmarks(documents, labels, ratios)]
-    tables = [kernel.table(codes) for codes in landmarks]
-    gram = kernel.kernels(landmarks, tables)
-    values, vectors = np.linalg.eigh(gram)
-    keep = values > 1e-6 * values.max()
-    whiten = vectors[:, keep] / np.sqrt(values[keep])
-
-    every = sorted({unit for units in documents for unit in units})
-    score = {
-        unit: max((ratios.get(g, -1.0) for g in _grams(_letters(unit))), default=-2.0)
-        for unit in every
-    }
-    rng = np.random.default_rng(1)
-    model, sure = None, SURE
-    toxic: Counter = Counter()
+    ``near``: of each document, the units nearest to an insult; ``score``: how near.
+    """
+    insults = _insults(documents, labels)
+    strongest = _strongest(insults)
+    marks = Landmarks(kernel, strongest, len(strongest))
+    if not strongest:
+        return Model(marks, np.zeros(0), FLOOR, None)
+    clean = [units for units, label in zip(near, labels.tolist(), strict=True) if not label]
+    every = sorted({unit for units in clean for unit in units} - insults.keys())
+    score = {unit: score[unit] for unit in every}
+    positive = sorted(insults)
+    chosen: set[str] = set()
     for _ in range(ROUNDS):
-        if model is not None:
-            margins = model.unit_margins(every)
-            score, sure = dict(zip(every, margins.tolist(), strict=True)), 0.0
-        harmless: set[str] = set()
-        again: Counter = Counter()
-        for units, label in zip(documents, labels, strict=True):
-            worst = _worst(units, score, WORST)
-            if label:
-                again.update(u for n, u in enumerate(worst) if not n or score[u] > sure)
-            else:
-                harmless.update(worst)
-                some = sorted(units)
-                harmless.update(rng.choice(some, min(RANDOM, len(some)), False).tolist())
-        # A unit once taken for an insult stays one.
-        toxic |= again
-        # What is in harmless documents too does not make a document toxic.
-        instances = sorted(toxic.keys() - harmless) + sorted(harmless)
-        times = np.array([toxic[unit] if unit not in harmless else 0 for unit in instances])
-        signs = np.where(times > 0, 1.0, -1.0)
-        codes = [kernel.windows(unit)[0] for unit in instances]
-        kernels = kernel.kernels(codes, tables)
-        # A unit counts once for each document it stands for; either label for half.
-        counts = np.maximum(times, 1)
-        halves = {sign: max(1, counts[signs == sign].sum()) for sign in (-1.0, 1.0)}
-        costs = [COST * n * counts.sum() / 2 / halves[s] for n, s in zip(counts, signs, strict=True)]
-        weights, bias = dual_descent(kernels @ whiten, signs, costs)
-        by_landmark = whiten @ weights
-        combined = np.zeros(LETTERS**3)
-        for part, (found, values) in zip(by_landmark, tables, strict=True):
-            combined[found] += part * values
-        model = Model(kernel, combined, bias, Curve(0.0, 1.0, 0.0))
+        for units in clean:
+            own = [unit for unit in units if unit in score]
+            chosen.update(sorted(own, key=lambda unit: (-score[unit], unit))[:WORST])
+        harmless = sorted(chosen)
+        hardest = sorted(harmless, key=lambda unit: (-score[unit], unit))[:HARMLESS]
+        marks = Landmarks(kernel, strongest + hardest, len(strongest))
+        gram = marks.kernels(marks.codes)
+        values, vectors = np.linalg.eigh(gram)
+        keep = values > 1e-6 * values.max()
+        whiten = vectors[:, keep] / np.sqrt(values[keep])
+        rows = marks.kernels(_codes(kernel, positive + harmless)) @ whiten
+        signs = np.repeat([1.0, -1.0], [len(positive), len(harmless)])
+        targets = np.ones(len(rows))
+        targets[: len(positive)] = [insults[unit] / CLEAR for unit in positive]
+        # Either label counts for half.
+        costs = COST * len(rows) / 2 / np.repeat(
+            [len(positive), max(1, len(harmless))], [len(positive), len(harmless)]
+        )
+        weights, bias = dual_descent(rows, signs, targets, costs)
+        model = Model(marks, whiten @ weights, bias, None)
+        score = dict(zip(every, model.unit_margins(every).tolist(), strict=True))
     return model
 
 
+def _codes(kernel: Kernel, units: list[str]) -> list[bytes]:
+    return [kernel.windows(unit)[0] for unit in units]
+
+
+def _forms(kernel: Kernel, units: set[str]) -> set[str]:
+    """Letters and digits of the units; of a long one those of each window."""
+    found: set[str] = set()
+    for unit in units:
+        own = _letters(unit)
+        if len(own) > LONGEST:
+            half = LONGEST // 2
+            found.update(own[at : at + LONGEST] for at in range(0, len(own) - half, half))
+        elif len(own) > 2:
+            found.add(own)
+    return found
+
+
 def fit(documents: list[set[str]], labels: np.ndarray) -> Model | float:
     """The model; with too few documents of a label, the share of label 1 (or 0.5).
 
@@ -399,27 +445,36 @@ def fit(documents: list[set[str]], labels: np.ndarray) -> Model | float:
         return float(labels.mean()) if len(labels) else 0.5
     if len(set(labels)) < 2 or not any(documents):
         return float(labels.mean())
+    letters = Counter(c for units in documents for unit in units for c in unit if c.isalnum())
+    kernel = Kernel("".join(sorted(letters, key=lambda c: (-letters[c], c))[: LETTERS - 1]))
+    forms = [_forms(kernel, units) for units in documents]
+    # What is near an insult of a fold is near one of all documents, or of another fold.
+    insults = _insults(forms, labels)
+    for part in parts:
+        some = _insults([forms[i] for i in np.flatnonzero(~part)], labels[~part])
+        insults = some | insults
+    strongest = _strongest(insults)
+    marks = Landmarks(kernel, strongest, len(strongest))
+    score = marks.nearest(sorted({unit for units in forms for unit in units}))
+    near = [
+        sorted(units & score.keys(), key=lambda unit: (-score[unit], unit))[:NEAREST] for units in forms
+    ]
     margins = np.zeros(len(labels))
     for part in parts:
-        model = _train([documents[i] for i in np.flatnonzero(~part)], labels[~part])
+        seen = np.flatnonzero(~part)
+        own = [forms[i] for i in seen], [near[i] for i in seen]
+        model = _train(kernel, *own, score, labels[~part])
         for i in np.flatnonzero(part):
-            margins[i] = max(model.unit_margins(sorted(documents[i])), default=FLOOR)
-    whole = _train(documents, labels)
-    return Model(whole.kernel, whole.weights, whole.bias, fit_curve(margins, labels))
+            margins[i] = max(model.unit_margins(near[i]), default=FLOOR)
+    whole = _train(kernel, forms, near, score, labels)
+    return Model(whole.marks, whole.weights, whole.bias, fit_steps(margins, labels))
 
 
 def _sample_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The units of each document, each once.
-
-    Joined words are learnt as harmless only: in a toxic document they hold the insult and
-    its neighbours, and would stand for it in place of the insult.
-    """
+    """The units of each document, each once: the same that are scored."""
     for batch in batches:
-        texts, labels = columns(batch.select(["text", "label"]))
-        units = [
-            sorted(plain_units(text) if label else text_units(text))
-            for text, label in zip(texts, labels, strict=True)
-        ]
+        (texts,) = columns(batch.select(["text"]))
+        units = [sorted(text_units(text)) for text in texts]
         yield batch_of(
             rank=(batch.column("rank"), None),
             label=(batch.column("label"), None),
@@ -433,7 +488,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, **names: str) -> M
     made = in_batches(chosen, _sample_units, "rank long, label int, units array<string>")
     documents, found, held = [], [], 0
     for row in written(made, "sample").orderBy("rank").toLocalIterator():
-        held += len(row.units)
+        held += len(row.units) + 1
         if held > SAMPLE_UNITS:
             break
         documents.append(set(row.units))

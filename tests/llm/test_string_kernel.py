@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 
 from punchcard.llm import string_kernel
-from punchcard.llm.labelled import Curve, fit_curve
-from punchcard.llm.string_kernel import DECAY, FLOOR, LONGEST, Kernel, Model, fit, sentences
-from punchcard.llm.string_kernel import toxicity_scores, units_of
+from punchcard.llm.labelled import fit_steps
+from punchcard.llm.string_kernel import DECAY, FLOOR, LONGEST, NEAR, Kernel, Landmarks, Model
+from punchcard.llm.string_kernel import dual_descent, fit, sentences, text_units, toxicity_scores
+from punchcard.llm.string_kernel import units_of
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -55,23 +56,64 @@ def test_kernel_against_all_triples():
         assert (products[exact <= above] <= above + 1e-12).all()
 
 
-def test_scores_need_no_landmarks():
-    """The table of triples gives the same margins as kernels with the landmarks."""
+def test_margins_against_plain_kernels():
+    """Units near an insult have the margin of their squared kernels; others the floor."""
     rng = random.Random(1)
     kernel = Kernel("abcdef")
-    landmarks = ["abc", "fade", "bead"]
-    parts = rng.random(), -rng.random(), rng.random()
-    combined = np.zeros(string_kernel.LETTERS**3)
-    for part, landmark in zip(parts, landmarks):
-        found, values = kernel.table(kernel.windows(landmark)[0])
-        combined[found] += part * values
-    model = Model(kernel, combined, -0.2, Curve(0, 1, 0))
-    words = ["".join(rng.choices("abcdef", k=rng.randint(3, 9))) for _ in range(50)]
-    want = [sum(a * plain_kernel(w, m) for a, m in zip(parts, landmarks)) - 0.2 for w in words]
-    assert np.allclose(model.unit_margins(words), want)
-    assert model.margins([" ".join(words), "", None]).tolist() == pytest.approx(
-        [max(want), FLOOR, FLOOR]
-    )
+    strings = ["fade", "bead", "cafe", "decaf", "abc", "abcd"]
+    weights = np.array([rng.random() for _ in strings[:4]] + [-0.3, -0.2])
+    model = Model(Landmarks(kernel, strings, 4), weights, -0.2, None)
+    words = ["".join(rng.choices("abcdef", k=rng.randint(1, 9))) for _ in range(200)]
+    for _ in range(200):
+        word = list(rng.choice(strings))
+        word.insert(rng.randrange(len(word) + 1), rng.choice("abcdef"))
+        words.append("".join(word))
+    near = 0
+    for word, margin in zip(words, model.unit_margins(words).tolist(), strict=True):
+        kernels = [plain_kernel(word, mark) for mark in strings]
+        exact = max(FLOOR, float(np.dot(weights, np.square(kernels))) - 0.2)
+        near += max(kernels[:4]) > NEAR
+        if max(kernels[:4]) > NEAR:
+            assert margin == pytest.approx(exact)
+        else:
+            assert margin == FLOOR or margin == pytest.approx(exact)
+    assert near > 20
+    want = model.unit_margins(words).max()
+    assert model.margins([" ".join(words), "", None]).tolist() == pytest.approx([want, FLOOR, FLOOR])
+
+
+def test_bounds_of_groups(monkeypatch):
+    """No string that reaches the limit with an insult is ruled out, whatever the groups."""
+    rng = random.Random(3)
+    kernel = Kernel("abcdefgh")
+    strings = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(30)]
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(500)] + strings
+    codes = [kernel.windows(word)[0] for word in words]
+    for group in (1, 5, 40):
+        monkeypatch.setattr(string_kernel, "GROUP", group)
+        marks = Landmarks(kernel, strings, len(strings))
+        kernels = kernel.kernels(codes, marks.tables).max(axis=1)
+        assert set(np.flatnonzero(kernels > NEAR + 1e-9)) <= set(marks.near(codes).tolist())
+
+
+def test_descent_settles():
+    """The solution has a duality gap of nearly nothing."""
+    rng = np.random.default_rng(0)
+    rows = rng.normal(size=(300, 6))
+    signs = np.where(rows[:, 0] + 0.5 * rng.normal(size=300) > 0, 1.0, -1.0)
+    targets = rng.uniform(0.5, 2, 300)
+    costs = np.full(300, 2.0)
+    weights, bias = dual_descent(rows, signs, targets, costs)
+    slack = np.maximum(0, targets - signs * (rows @ weights + bias))
+
+    def primal(w, b):
+        return (w @ w + b * b) / 2 + costs @ np.maximum(0, targets - signs * (rows @ w + b))
+
+    best = primal(weights, bias)
+    for _ in range(200):
+        step = rng.normal(size=7) * 0.01
+        assert primal(weights + step[:6], bias + step[6]) > best - 0.05
+    assert slack.min() == 0
 
 
 def test_units():
@@ -124,21 +166,63 @@ def test_gaps_and_inserted_letters(documents, labelled):
     assert [word for i, word in enumerate(bent) if scores[401 + i] < 0.7] == []
 
 
-def test_all_documents(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+def held_out_scores(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
     scored = toxicity_scores(docs, labels).collect()
     assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
     for r in scored:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
     known = {r.doc_id: r.toxic for r in labels.collect()}
     held = [(r.score, known[r.doc_id]) for r in scored if r.held_out and r.doc_id in known]
-    assert sum(score >= 0.7 for score, label in held if not label) <= 1
-    # In this small table, one label in three has no insult behind it.
-    toxic = [score for score, label in held if label]
-    clean = [score for score, label in held if not label]
-    above = sum((a > b) + (a == b) / 2 for a in toxic for b in clean)
-    assert above >= 0.8 * len(toxic) * len(clean)
+    toxic = np.array([score for score, label in held if label])
+    clean = np.array([score for score, label in held if not label])
+    above = (toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2
+    return (toxic >= 0.7).mean(), (clean >= 0.7).mean(), above
+
+
+def test_all_documents(spark):
+    """Recall, false alarms and area under the curve of held-out documents at sf0.01."""
+    recall, alarms, area = held_out_scores(spark, SF_DIR)
+    assert recall > 0.5 and alarms <= 0.04 and area >= 0.85
+
+
+def test_all_documents_of_a_larger_table(spark):
+    recall, alarms, area = held_out_scores(spark, "/root/testdata/sf0.1")
+    assert recall >= 0.8 and alarms <= 0.01 and area >= 0.93
+
+
+INSULTS = "pathetic trash idiot worthless loser moron scum stupid disgusting clown".split()
+
+
+def test_bent_insults(spark):
+    """Ten forms of each of ten insults that documents of sf0.1 hold, in harmless text."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = string_kernel.train(docs, labels, "toxic", id_col="doc_id", text_col="text")
+    forms = {
+        "plain": lambda w: w,
+        "capitals": lambda w: w.upper(),
+        "stars": lambda w: "*".join(w),
+        "dots": lambda w: ".".join(w) + "!",
+        "hyphen": lambda w: w[:2] + "-" + w[2:],
+        "spaces": lambda w: " ".join(w),
+        "dots and spaces": lambda w: ". ".join(w),
+        "two halves": lambda w: w[:2] + " " + w[2:],
+        "a letter twice": lambda w: w[:-1] + w[-1] * 2,
+        "a letter more": lambda w: w + "q",
+    }
+    text = "The harbour was quiet and {} boats came home in the evening."
+    scores = {
+        name: model.curve(model.margins([text.format(bend(w)) for w in INSULTS]))
+        for name, bend in forms.items()
+    }
+    found = {name: int((own >= 0.7).sum()) for name, own in scores.items()}
+    print(found)
+    assert model.curve(model.margins([text.format("the")]))[0] < 0.3
+    for name in ("plain", "capitals", "stars", "dots", "hyphen"):
+        assert found[name] == 10, name
+    assert sum(found.values()) >= 80
 
 
 def test_odd_rows(documents, labelled):
@@ -155,17 +239,21 @@ def test_fit_without_units():
     assert fit([set() for _ in labels], labels) == 0.5
 
 
-def test_curve_with_unexplained_labels():
+def test_steps_with_unexplained_labels():
     margins = np.r_[np.linspace(-1, 0, 90), np.linspace(-1, 0, 10), np.linspace(1, 2, 40)]
     labels = np.r_[np.zeros(90, int), np.ones(10, int), np.ones(40, int)]
-    curve = fit_curve(margins, labels)
-    p = curve(margins)
-    assert 0.05 < p[0] < 0.15 and p[-1] > 0.95 and 0 <= curve.middle <= 1
+    steps = fit_steps(margins, labels)
+    tried = np.linspace(-3, 3, 200)
+    p = steps(tried)
+    assert (np.diff(p) > 0).all() and 0 < p[0] < 0.15 and 0.95 < p[-1] < 1
+    assert steps(np.array([0.4]))[0] < 0.3 and steps(np.array([0.6]))[0] > 0.9
+    whole = fit_steps(np.zeros(5), np.array([0, 1, 0, 0, 1]))
+    assert 0.3 < whole(np.zeros(1))[0] < 0.5
 
 
 def test_forgetting_changes_nothing(monkeypatch):
     texts, labels = made_documents(60)
-    documents = [{u for s in sentences(t) for u in units_of(s)} for t in texts]
+    documents = [text_units(text) for text in texts]
     model = fit(documents, np.array(labels))
     want = model.margins(texts).tolist()
     monkeypatch.setattr(string_kernel, "REMEMBERED", 10)
