@@ -31,8 +31,9 @@ def sample(
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
         .filter(F.col("label").isin(0, 1) & F.col("id").isNotNull())
         .filter(~held_out("id"))
+        .groupBy("id")
+        .agg(F.max("label").alias("label"))  # of labels that contradict each other, 1
         .withColumn("rank", F.xxhash64("id"))
-        .dropDuplicates(["id"])
     )
     parts = [
         known.filter(F.col("label") == label).orderBy("rank", "id").limit(per_class)

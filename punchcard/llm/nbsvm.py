@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, **names: str) -> M
     made = in_batches(chosen, _sample_features, "rank long, label int, features array<int>")
     rows, found, held = [], [], 0
     for row in written(made, "sample").orderBy("rank").toLocalIterator():
-        held += len(row.features)
+        held += len(row.features) + 1
         if held > SAMPLE_FEATURES:
             break
         rows.append(np.array(row.features, np.int64))
