@@ -1,7 +1,8 @@
 """Results in DuckDB's SQL of the queries that SQL can express.
 
 Written from what the operators promise, not from how they do it: overlaps come from
-all shared word triples, and the figures of a text from its lines and words as rows.
+all shared word triples, the figures of a text from its lines and words as rows, links
+from all shared shingles, and clusters from all distances.
 The bounds and phrases are the operators' own.
 """
 
@@ -138,7 +139,86 @@ QUALIFY row_number() OVER (
   PARTITION BY doc_id, item_id ORDER BY matched DESC, ip + shift, ip) = 1
 """
 
+_JACCARD = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD}) AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN w IS NULL OR len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+  END AS s
+  FROM words
+),
+shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets
+),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT x, other FROM reach JOIN links ON y = doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
+def _clusters(k: int, rounds: int, dims: int, scale: int) -> str:
+    """Every vector against every centroid, in one pair of tables for each round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, c, sum((v.x - o.x) * (v.x - o.x)) AS d
+  FROM parts v JOIN c{r} o USING (j) GROUP BY vec_id, c
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c, j, coalesce(fresh, c{r}.x) AS x
+  FROM c{r} LEFT JOIN (
+    SELECT c, j, (sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS fresh
+    FROM parts JOIN a{r} USING (vec_id) GROUP BY c, j
+  ) USING (c, j)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, [floor({scale} * x::DOUBLE)::BIGINT for x in embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len([x for x in embedding if isfinite(x)]) = {dims}
+),
+parts AS MATERIALIZED (
+  SELECT vec_id, unnest(e) AS x, unnest(range({dims})) AS j FROM kept
+),
+c0 AS MATERIALIZED (
+  SELECT c, unnest(e) AS x, unnest(range({dims})) AS j
+  FROM (SELECT e, row_number() OVER (ORDER BY sha256('2:' || vec_id), e) - 1 AS c FROM kept)
+  WHERE c < {k}
+),{",".join(steps)},
+named AS (
+  SELECT c, sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY j)) AS centroid_sha256
+  FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, c::INT AS cluster, d::BIGINT AS distance,
+  (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN named USING (c)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op4_benchmark_overlaps": _OVERLAPS,
     "op9_quality_rules": _QUALITY,
+    "op12_jaccard_components": _JACCARD,
+    "op13_nsimplex_clusters": _clusters(40, 5, 64, 256),
 }
