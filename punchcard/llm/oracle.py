@@ -2,7 +2,7 @@
 
 Written from what the operators promise, not from how they do it: overlaps come from
 all shared word triples, the figures of a text from its lines and words as rows, links
-from all shared shingles, and clusters from all distances.
+from all shared shingles, repairs from all edits, and clusters from all distances.
 The bounds and phrases are the operators' own.
 """
 
@@ -216,9 +216,121 @@ FROM a{rounds} JOIN named USING (c)
 """
 
 
+_BLANKS = r"\x20\x09-\x0D"
+
+# The crc32 comes from its polynomial; places of the pattern are e(mpty), s, u and a. Of
+# all edits that lead to a place after a turn the cheapest stay, of equal ones the least.
+_REPAIR = rf"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE k < 8
+),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations
+),
+harmed AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT for c in string_split(name, '')]),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS harm
+  FROM named, crc
+),
+turns AS (
+  SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM harmed
+),
+placed AS (
+  SELECT *, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i
+  FROM turns
+),
+judged AS (
+  SELECT conv_id, turn, role, text, i, initial,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS two,
+    CASE
+      WHEN NOT regexp_matches(text, '[^{_BLANKS}]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][{_BLANKS}]*$') THEN 'truncated'
+      ELSE '' END AS fault
+  FROM placed
+),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(i) AS n
+  FROM judged GROUP BY conv_id
+),
+steps(before, initial, after) AS (
+  VALUES ('e', 's', 's'), ('e', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')
+),
+free AS (
+  SELECT before, after, CASE after WHEN 'u' THEN 'user' ELSE 'assistant' END AS role
+  FROM steps WHERE initial <> 's'
+),
+inserted AS (
+  SELECT p AS before, p AS after, '' AS edits, []::VARCHAR[] AS lines
+  FROM (VALUES ('e'), ('s'), ('u'), ('a')) t(p)
+  UNION ALL
+  SELECT before, after, 'I', [role || ':'] FROM free
+  UNION ALL
+  SELECT f.before, g.after, 'II', [f.role || ':', g.role || ':']
+  FROM free f JOIN free g ON g.before = f.after
+),
+moves AS (
+  SELECT before, before AS after, 'D' AS edit, 'D' AS edits, lines,
+    NULL::VARCHAR AS needs, NULL::VARCHAR AS becomes, 2 AS cost
+  FROM inserted WHERE edits = ''
+  UNION ALL
+  SELECT b.before, s.after, 'K', edits || 'K', lines, s.initial, NULL, 5 * len(lines)
+  FROM inserted b JOIN steps s ON s.before = b.after
+  UNION ALL
+  SELECT b.before, f.after, 'R', edits || 'R', lines, NULL, f.role, 5 * len(lines) + 1
+  FROM inserted b JOIN free f ON f.before = b.after
+),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, 'e' AS place, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, place, cost, audit, lines FROM (
+    SELECT w.conv_id, j.i, m.after AS place,
+      w.cost + m.cost + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+      w.audit || m.edits AS audit,
+      CASE edit WHEN 'D' THEN w.lines
+        ELSE list_concat(w.lines, m.lines, [coalesce(becomes, role) || ':' || text]) END AS lines
+    FROM ways w
+    JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1
+    JOIN moves m ON m.before = w.place
+      AND (edit = 'D' OR fault NOT IN ('blank', 'duplicate')) AND coalesce(needs = initial, true)
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, place ORDER BY cost, audit) = 1
+),
+ended AS (
+  SELECT w.conv_id, w.cost + 5 * len(b.lines) AS cost, audit || edits AS audit,
+    list_concat(w.lines, b.lines) AS lines
+  FROM ways w LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM w.conv_id
+  JOIN inserted b ON b.before = w.place AND b.after IN ('e', 'a') AND (b.edits = '' OR w.place IN ('s', 'u'))
+  WHERE w.i = coalesce(f.n, 0)
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + 5 * len(b.lines), audit || edits) = 1
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit,
+  sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 ORACLE: dict[str, str] = {
     "op4_benchmark_overlaps": _OVERLAPS,
     "op9_quality_rules": _QUALITY,
+    "op11_conversation_repair": _REPAIR,
     "op12_jaccard_components": _JACCARD,
     "op13_nsimplex_clusters": _clusters(40, 5, 64, 256),
 }
