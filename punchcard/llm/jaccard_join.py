@@ -256,6 +256,8 @@ def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     The stored first shingles by hash tell most others apart: up to the smaller of both
     last hashes nothing is left out, and what one set has there alone, it has for good.
     """
+    if pairs.isEmpty():
+        return pairs
     need = bounds.overlap("na", "nb")
     firsts = corpus.stored.join(if_small(_ends(pairs)), "node", "left_semi")
     last = "IF(size(s{0}) < n{0}, element_at(s{0}, -1), 9223372036854775807L)"
@@ -268,6 +270,8 @@ def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     alone = "size(filter(s{0}, x -> x <= cut)) - shared <= n{0} - {1}"
     likely = ended.filter(" AND ".join(alone.format(own, need) for own in "ab")).select("a", "b")
     likely = written(likely, "likely")
+    if likely.isEmpty():
+        return likely
     sets = written(corpus.sets(_ends(likely)), "compared")
     shared = F.size(F.array_intersect("sa", "sb"))
     found = written(_both(likely, sets).filter(shared >= F.expr(need)).select("a", "b"), "alike")
@@ -275,16 +279,15 @@ def _alike(pairs: DataFrame, corpus: _Corpus, bounds: _Bounds) -> DataFrame:
     return found
 
 
-def _grown(edges: DataFrame, found: DataFrame) -> DataFrame:
+def _grown(joined: DataFrame, found: DataFrame) -> DataFrame:
     """Components (node, component) of what was joined before and the alike pairs found."""
+    if found.isEmpty():
+        return joined
+    edges = joined.select(F.col("node").alias("u"), F.col("component").alias("v"))
     more = found.select(F.col("a").alias("u"), F.col("b").alias("v"))
     return written(components(edges.unionByName(more)), "joined")
 
 
-def _edges(joined: DataFrame) -> DataFrame:
-    return joined.select(F.col("node").alias("u"), F.col("component").alias("v"))
-
-
 def _led(live: DataFrame, joined: DataFrame, turn: int, bounds: _Bounds) -> DataFrame:
     """One pair (a, b) for each group that shares a shingle with a leader of another component.
 
@@ -391,17 +394,17 @@ def jaccard_components(
     live = written(places.join(shared, "shingle").withColumn("met", met), "live")
 
     members = groups.filter("node != g").select(F.col("node").alias("a"), F.col("g").alias("b"))
-    none = groups.select(F.col("node").alias("u"), F.col("g").alias("v")).limit(0)
-    joined = _grown(none, _alike(members, corpus, bounds))
+    none = written(groups.filter("node < g").select("node", F.col("g").alias("component")), "none")
+    joined = _grown(none, _alike(written(members, "members"), corpus, bounds))
     for turn in range(ROUNDS):
         pairs = written(_led(live, joined, turn, bounds), "led")
         found = _alike(pairs, corpus, bounds)
-        joined = _grown(_edges(joined), found)
+        joined = _grown(joined, found)
         if found.count() * FEW <= pairs.count():
             break
     left = written(_apart(live, groups, joined), "apart")
     pairs = written(_pairs(left, groups, joined, bounds), "pairs")
-    joined = _grown(_edges(joined), _alike(pairs, corpus, bounds))
+    joined = _grown(joined, _alike(pairs, corpus, bounds))
 
     named = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))

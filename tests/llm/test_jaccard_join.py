@@ -77,8 +77,7 @@ def test_all_documents_against_brute_force(spark):
     assert sum(doc != group for doc, _, group in groups) > 10
 
 
-@pytest.mark.parametrize("frequent", [3, 16])
-@pytest.mark.parametrize("percent", [90, 60])
+@pytest.mark.parametrize(("frequent", "percent"), [(3, 90), (16, 60)])
 def test_groups_of_near_copies(spark, monkeypatch, frequent, percent):
     """Many near copies of few texts, near the limit, and texts that share a long passage."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
@@ -97,7 +96,7 @@ def test_groups_of_near_copies(spark, monkeypatch, frequent, percent):
     assert len({group for _, _, group in groups}) < len(groups) * 0.8
 
 
-@pytest.mark.parametrize("rounds", [0, 1])
+@pytest.mark.parametrize("rounds", [0, 2])
 def test_what_leaders_miss(spark, monkeypatch, rounds):
     """A chain of texts, each like the next one only, found by pairs alone or with a round."""
     monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
