@@ -61,41 +61,24 @@ FLOOR = -1.5
 REMEMBERED = 64 << 20
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SENTENCE = re.compile(r"[.!?\n]+[\x20\x09-\x0D]+")
 
 
-def sentences(text: str | None) -> list[str]:
-    return _SENTENCE.split((text or "").lower())
-
-
-def units_of(sentence: str) -> list[str]:
-    """The words of a sentence, and its runs of three or more single letters, joined."""
-    words = _WORD.findall(sentence)
-    single = [i for i, word in enumerate(words) if len(word) == 1]
-    if len(single) < 3:
-        return words
-    runs, start = [], 0
-    for at in range(1, len(single) + 1):
-        if at == len(single) or single[at] != single[at - 1] + 1:
-            if at - start > 2:
-                runs.append("".join(words[i] for i in single[start:at]))
-            start = at
-    return words + runs
-
-
-def joined_units(text: str | None) -> set[str]:
-    """Neighbouring words that may be one word in pieces, joined: letters and digits only.
+def joined_units(words: list[str]) -> set[str]:
+    """Neighbouring words that may be one word in pieces, joined.
 
     Each window of words of ``JOINED`` letters at most in which one word at most has more
-    than ``FRAGMENT`` letters. Marks between pieces, ends of sentences among them, do not count.
+    than ``FRAGMENT`` letters.
     """
-    words = [own for word in _WORD.findall((text or "").lower()) if (own := _letters(word))]
     sizes = list(map(len, words))
     found: set[str] = set()
     last = len(words) - 1
-    for start, size in enumerate(sizes):
-        if start == last or size >= JOINED or (size > FRAGMENT and sizes[start + 1] > FRAGMENT):
-            continue
+    starts = [
+        start
+        for start, (size, following) in enumerate(zip(sizes, sizes[1:], strict=False))
+        if size < JOINED and (size <= FRAGMENT or following <= FRAGMENT)
+    ]
+    for start in starts:
+        size = sizes[start]
         held, long, end = size, size > FRAGMENT, start + 1
         while end <= last:
             held += sizes[end]
@@ -108,13 +91,21 @@ def joined_units(text: str | None) -> set[str]:
     return found
 
 
-def plain_units(text: str | None) -> set[str]:
-    return {unit for own in sentences(text) for unit in units_of(own)}
+def text_units(text: str | None) -> set[str]:
+    """All units of a text: its words, and neighbouring ones joined.
 
+    Letters and digits only, in lower case: marks in and between words do not count, ends
+    of sentences among them.
+    """
+    words = [
+        own
+        for word in _WORD.findall((text or "").lower())
+        if (own := word if word.isalnum() else _letters(word))
+    ]
+    return {word for word in words if len(word) > 2} | joined_units(words)
 
-def text_units(text: str | None) -> set[str]:
-    """All units of a text: those of its sentences, and neighbouring words joined."""
-    return plain_units(text) | joined_units(text)
+
+_END = 255  # parts units that are translated together
 
 
 class _Codes(dict):
@@ -147,6 +138,13 @@ class Kernel:
     def __init__(self, alphabet: str):
         self.alphabet = alphabet
         self._codes = _Codes({ord(c): i for i, c in enumerate(alphabet[: LETTERS - 1])})
+        self._codes[ord("\n")] = _END
+
+    def codes(self, units: list[str]) -> list[bytes]:
+        """The codes of units of letters and digits, of any length."""
+        if not units:
+            return []
+        return "\n".join(units).translate(self._codes).encode("latin-1").split(bytes([_END]))
 
     def windows(self, unit: str) -> list[bytes]:
         """Letters and digits of a unit as codes; of a long one, its windows."""
@@ -161,7 +159,7 @@ class Kernel:
     def _keys(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the triples of strings of one length, and their weights."""
         i, j, k, weights = _triples(codes.shape[1])
-        wide = codes.astype(np.int64)
+        wide = codes.astype(np.int32)
         return (wide[:, i] * LETTERS + wide[:, j]) * LETTERS + wide[:, k], weights
 
     def table(self, codes: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +188,7 @@ class Kernel:
     def _norms(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Norm of each row: the weights of equal triples add up first."""
         rows = len(keys)
-        apart = keys + np.arange(rows)[:, None] * LETTERS**3
+        apart = keys.astype(np.int64) + np.arange(rows)[:, None] * LETTERS**3
         found, place = np.unique(apart.ravel(), return_inverse=True)
         sums = np.bincount(place, np.tile(weights, rows))
         return np.sqrt(np.bincount(found // LETTERS**3, sums * sums, minlength=rows))
@@ -289,7 +287,12 @@ class Model:
 
     def unit_margins(self, units: list[str], floor: float = FLOOR) -> np.ndarray:
         """The margin of each unit, of a long one that of its worst window."""
-        windows = [self.marks.kernel.windows(unit) for unit in units]
+        kernel = self.marks.kernel
+        forms = [unit if unit.isalnum() else _letters(unit) for unit in units]
+        windows = [
+            [codes] if len(codes) <= LONGEST else kernel.windows(form)
+            for form, codes in zip(forms, kernel.codes(forms), strict=True)
+        ]
         flat = [codes for own in windows for codes in own]
         found = np.full(len(flat), floor)
         near = self.marks.near(flat)

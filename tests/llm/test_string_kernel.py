@@ -9,8 +9,7 @@ import pytest
 from punchcard.llm import string_kernel
 from punchcard.llm.labelled import fit_steps
 from punchcard.llm.string_kernel import DECAY, FLOOR, LONGEST, NEAR, Kernel, Landmarks, Model
-from punchcard.llm.string_kernel import dual_descent, fit, sentences, text_units, toxicity_scores
-from punchcard.llm.string_kernel import units_of
+from punchcard.llm.string_kernel import dual_descent, fit, text_units, toxicity_scores
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -117,10 +116,22 @@ def test_descent_settles():
 
 
 def test_units():
-    assert units_of("i d i o t, you") == ["i", "d", "i", "o", "t,", "you"] + ["idio"]
-    assert units_of("a cat") == ["a", "cat"]
-    assert units_of("x y z") == ["x", "y", "z", "xyz"]
-    assert sentences("One. Two!\nThree") == ["one", "two", "three"]
+    assert text_units("I d i o t, you") == {"idiot", "idio", "diot", "dio", "idi", "iot", "tyou", "you"} | {
+        "otyou",
+        "iotyou",
+        "diotyou",
+        "idiotyou",
+    }
+    assert text_units("A cat") == {"cat", "acat"}
+    assert text_units("One-two! three") == {"onetwo", "three"}
+    assert text_units(None) == text_units("a") == set()
+
+
+def test_codes_of_many_units():
+    kernel = Kernel("abcé")
+    units = ["abc", "", "日本", "éa", "x" * 50]
+    assert kernel.codes(units)[:4] == [kernel.windows(unit)[0] for unit in units[:4]]
+    assert len(kernel.codes(units)[4]) == 50 and kernel.codes([]) == []
 
 
 def test_long_units_are_windows():
@@ -261,11 +272,10 @@ def test_forgetting_changes_nothing(monkeypatch):
 
 
 def test_joined_units():
-    joined = string_kernel.joined_units
-    assert "idiot" in joined("An i. d. i. o. t") and "idiot" in joined("You id\niot!")
-    assert "stupid" in joined("so st - up id.") and joined(None) == joined("word") == set()
-    assert joined("longer words stand alone") == set()
-    assert joined("ab cde fgh") == {"abcde"}
+    assert "idiot" in text_units("An i. d. i. o. t") and "idiot" in text_units("You id\niot!")
+    assert "stupid" in text_units("so st - up id.")
+    assert text_units("longer words stand alone") == {"longer", "words", "stand", "alone"}
+    assert string_kernel.joined_units(["ab", "cde", "fgh"]) == {"abcde"}
 
 
 def test_insults_in_pieces(documents, labelled):
