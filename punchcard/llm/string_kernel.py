@@ -19,7 +19,6 @@ landmarks are only computed for what is near.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,10 +57,7 @@ COST = 20.0
 # The margin of what is not near an insult, and the least there is.
 FLOOR = -1.5
 # Bytes of units that a worker remembers, by estimate; beyond, it forgets them all.
-REMEMBERED = 64 << 20
-
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
+REMEMBERED = 192 << 20
 
 def joined_units(words: list[str]) -> set[str]:
     """Neighbouring words that may be one word in pieces, joined.
@@ -99,7 +95,7 @@ def text_units(text: str | None) -> set[str]:
     """
     words = [
         own
-        for word in _WORD.findall((text or "").lower())
+        for word in (text or "").lower().split()
         if (own := word if word.isalnum() else _letters(word))
     ]
     return {word for word in words if len(word) > 2} | joined_units(words)
