@@ -72,9 +72,10 @@ def _written_records(spark: SparkSession, sf_dir: str) -> str:
     """The records of mode open as CSV, twice.
 
     Once the first line of each part is a header; once each line, with another id, has
-    blank lines before it, and so each part begins with those.
+    blank lines before it, and so each part begins with those. The lines are derived and
+    parsed once, for both.
     """
-    records = login_records(login_lines(spark, sf_dir), OPEN).select(
+    parsed = login_records(login_lines(spark, sf_dir), OPEN).select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in RECORD_COLUMNS]
     )
     line = F.concat_ws(
@@ -87,6 +88,9 @@ def _written_records(spark: SparkSession, sf_dir: str) -> str:
     )
 
     def write(folder: str) -> None:
+        once = fresh_folder(spark, "parsed")
+        parsed.write.parquet(once)
+        records = spark.read.schema(parsed.schema).parquet(once)
         # A header that does not start with the prefix: only its place drops it.
         (
             records.toDF("id", *RECORD_COLUMNS[1:])

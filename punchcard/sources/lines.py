@@ -24,7 +24,8 @@ def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """file, line_count, first_blank of every file that has a line, from a scan of the text.
 
     Lines of the first split come in order; the number that tells it is only compared
-    within this one scan.
+    within this one scan. Whole numbers are all that is kept for a file, so that Spark
+    aggregates by hash and need not sort the lines.
     """
     lines = read_lines(spark, path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -32,15 +33,21 @@ def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("number"),
         _is_blank(F.col("value")).alias("blank"),
     )
+    at_start = F.col("start") == 0
+    first = F.min(F.when(at_start, F.col("number")))
+    first_of_blank = F.min(F.when(at_start & F.col("blank"), F.col("number")))
     return lines.groupBy("file").agg(
         F.count(F.lit(1)).alias("line_count"),
-        F.min_by("blank", F.struct("start", "number")).alias("first_blank"),
+        F.coalesce(first == first_of_blank, F.lit(False)).alias("first_blank"),
     )
 
 
 def _is_blank(line: Column) -> Column:
-    """As the CSV source sees it: nothing above a space character."""
-    return ~line.rlike(r"[^\x00-\x20]")
+    """As the CSV source sees it: nothing above a space character.
+
+    Only a line that begins with such a character has to be looked through.
+    """
+    return (line < "!") & ~line.rlike(r"[^\x00-\x20]")
 
 
 def read_lines_after_first(

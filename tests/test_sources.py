@@ -98,6 +98,25 @@ def test_file_lines(spark, tmp_path):
     ]
 
 
+def test_file_lines_without_a_sort(spark, tmp_path):
+    """A file's lines are summed up by hash; a sort of all lines outgrows memory."""
+    path = put(tmp_path / "in", "a.csv", "h\n\n \nx\n")
+    put(tmp_path / "in", "b.csv", "\x00\x1f \nx\n")
+    put(tmp_path / "in", "c.csv", "\tx\n\n")
+    put(tmp_path / "in", "d.csv", "\x01\x7f\n\n")
+    put(tmp_path / "in", "e.csv", "é\n\n")
+    df = file_lines(spark, path)
+    assert sorted((r.file[-5:], r.line_count, r.first_blank) for r in df.collect()) == [
+        ("a.csv", 4, False),
+        ("b.csv", 2, True),
+        ("c.csv", 2, False),
+        ("d.csv", 2, False),
+        ("e.csv", 2, False),
+    ]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
 def _opened(df):
     """Number of files that each scan of a plan opens."""
     found, todo = [], [df._jdf.queryExecution().executedPlan()]
